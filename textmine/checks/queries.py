@@ -284,10 +284,8 @@ def _eval_without_class(corpus_of: Query, dropped: str) -> Query:
 def _cv_metrics(corpus_of: Query) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         corpus = corpus_of(spark, folder)
-        scores = op.cross_validate(
-            corpus, op.fit_statistics(corpus), "doc_id", smoothings=SMOOTHINGS
-        )
-        return _rounded(scores, "smoothing", "avg_metric", "std_metric")
+        judged = op.validate(corpus, op.fit_statistics(corpus), "doc_id", smoothings=SMOOTHINGS)
+        return _rounded(op.validation_metrics(judged), "smoothing", "avg_metric", "std_metric")
 
     return query
 
@@ -297,11 +295,9 @@ def _cv_best(corpus_of: Query) -> Query:
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         corpus = corpus_of(spark, folder)
-        statistics = op.fit_statistics(corpus)
-        validation = op.cross_validate(corpus, statistics, "doc_id", smoothings=SMOOTHINGS)
-        best = op.best_smoothing(validation, SMOOTHINGS)
-        tested = op.score(corpus, op.fit_models(statistics), "doc_id", smoothings=[best])
-        scores = op.metrics(op.confusion_long(tested))
+        judged = op.validate(corpus, op.fit_statistics(corpus), "doc_id", smoothings=SMOOTHINGS)
+        best = op.best_smoothing(judged, SMOOTHINGS)
+        scores = op.metrics(op.tested(judged, best))
         return scores.select(F.lit(best).alias("smoothing"), F.round("f1", 4).alias("f1"))
 
     return query

@@ -79,14 +79,14 @@ def content_words(text: str, stop_words: Sequence[str] | None = None) -> Column:
 
 
 def count_terms(words: str) -> Column:
-    """``array<struct<term, tf>>`` of one document's tokens; null when it has none.
+    """``array<struct<term, tf>>`` of one document's tokens.
 
     Sorts the tokens and measures the runs inside the row, so counting needs no shuffle. The
     one-element ``transform`` calls bind the sorted array and the run starts once each.
     """
     return F.expr(
         f"""
-        transform(array(sort_array({words})), t -> if(size(t) = 0, null,
+        transform(array(sort_array({words})), t -> if(size(t) = 0, array(),
             transform(
                 array(filter(sequence(0, size(t) - 1), i -> i = 0 OR get(t, i) != get(t, i - 1))),
                 starts -> transform(starts, (i, j) -> named_struct(

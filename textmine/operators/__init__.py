@@ -3,11 +3,13 @@ from textmine.operators.bayes import (
     BayesStatistics,
     best_smoothing,
     class_priors,
-    cross_validate,
     fit_models,
     fit_statistics,
     score,
     term_weights,
+    tested,
+    validate,
+    validation_metrics,
 )
 from textmine.operators.corpus import (
     build_corpus,
@@ -62,7 +64,6 @@ __all__ = [
     "confusion_table",
     "confusion_wide",
     "count_by",
-    "cross_validate",
     "describe",
     "document_frequency",
     "evaluate",
@@ -84,8 +85,11 @@ __all__ = [
     "score",
     "term_counts",
     "term_weights",
+    "tested",
     "tfidf",
     "top_terms",
+    "validate",
+    "validation_metrics",
     "vocabulary_counts",
     "vocabulary_cut",
     "without_class",

@@ -13,23 +13,16 @@ A corpus here has the columns ``text``, ``cat``, a unique key, and an integer ``
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmine.functions.splits import TEST_FOLD
 from textmine.operators.evaluation import confusion_long, metrics
 from textmine.operators.lookup import lookup_join
-from textmine.operators.terms import (
-    MIN_DF,
-    VOCAB_SIZE,
-    idf,
-    term_counts,
-    term_totals,
-    vocabulary_cut,
-)
+from textmine.operators.terms import MIN_DF, VOCAB_SIZE, idf, term_counts, vocabulary_cut
 from textmine.sources.scratch import written
 from textmine.sources.tables import collect_small
 
@@ -37,28 +30,38 @@ from textmine.sources.tables import collect_small
 class BayesStatistics(NamedTuple):
     """What one pass over the text leaves behind.
 
-    ``terms`` is a stored table ``(term, cat, fold, tf, idf)``; ``docs`` holds the number of
-    documents per ``(cat, fold)``.
+    ``terms`` is a stored table ``(term, cat, fold, tf, idf)``; ``docs`` and ``weights`` hold the
+    number of documents and the sum of all TF-IDF weights per ``(cat, fold)``.
     """
 
     terms: DataFrame
     docs: dict[tuple[str, int], int]
+    weights: dict[tuple[str, int], float]
     classes: list[str]
     n_terms: int
     term_bytes: int
 
     def trained_on(self, holdout: int) -> dict[str, int]:
         """Training documents per class, classes by falling count: the label order."""
-        counts = {
-            c: sum(
-                n
-                for (cat, fold), n in self.docs.items()
-                if cat == c and fold not in (TEST_FOLD, holdout)
-            )
-            for c in self.classes
-        }
+        counts = {c: int(self._sum(self.docs, c, holdout)) for c in self.classes}
         return dict(sorted(counts.items(), key=lambda item: (-item[1], item[0])))
 
+    def _sum(self, values: dict[tuple[str, int], float], cat: str, holdout: int) -> float:
+        return sum(
+            value
+            for (c, fold), value in values.items()
+            if c == cat and fold not in (TEST_FOLD, holdout)
+        )
+
+    def log_prior(self, holdout: int, cat: str, smoothing: float) -> float:
+        docs = self.trained_on(holdout)
+        share = sum(docs.values()) + smoothing * len(docs)
+        return math.log(docs[cat] + smoothing) - math.log(share)
+
+    def log_total(self, holdout: int, cat: str, smoothing: float) -> float:
+        """Logarithm of the smoothed weight of all terms in a class."""
+        return math.log(self._sum(self.weights, cat, holdout) + smoothing * self.n_terms)
+
     def row_bytes(self, values: int) -> int:
         """Rough size in memory of a lookup table with ``values`` numbers per term."""
         return self.term_bytes + self.n_terms * (64 + 8 * values)
@@ -70,41 +73,63 @@ def fit_statistics(
     vocab_size: int = VOCAB_SIZE,
     stop_words: Sequence[str] | None = None,
 ) -> BayesStatistics:
-    """One pass over the text. Vocabulary and IDF see all rows, test rows included."""
-    counted = corpus.groupBy("cat", "fold").agg(F.count("*").alias("n"))
-    docs = {(row["cat"], row["fold"]): row["n"] for row in collect_small(counted)}
-    if any(cat is None for cat, _ in docs):
-        raise ValueError("every document needs a class")
-    n_docs = sum(docs.values())
-    least = min_df if min_df >= 1 else min_df * n_docs
+    """One pass over the text. Vocabulary and IDF see all rows, test rows included.
 
+    Every document adds a row without a term, so the same aggregation counts the documents.
+    """
     # At most one row per class and fold meets in a window, whatever the term's frequency.
     same_term = Window.partitionBy("term")
     terms = (
-        term_counts(corpus, "cat", "fold", stop_words=stop_words)
+        term_counts(corpus, "cat", "fold", stop_words=stop_words, document_rows=True)
         .groupBy("term", "cat", "fold")
         .agg(F.count("*").alias("docs"), F.sum("tf").alias("tf"))
         .withColumn("df", F.sum("docs").over(same_term))
         .withColumn("cf", F.sum("tf").over(same_term))
         .withColumn("head", F.row_number().over(same_term.orderBy("cat", "fold")) == 1)
-        .where(F.col("df") >= least)
-        .drop("docs")
-        .withColumn("idf", idf(n_docs, F.col("df")))
+        .where(F.col("term").isNull() | (F.col("df") >= min_df))
     )
     stored = written(terms, "bayes-terms")
-    n_terms, term_bytes = term_totals(stored.where("head"))
+    docs, sums, n_terms, term_bytes = _summary(stored)
+    n_docs = sum(docs.values())
+    kept = stored.where(F.col("term").isNotNull())
+    if min_df < 1:
+        kept = kept.where(F.col("df") >= min_df * n_docs)
+        _, sums, n_terms, term_bytes = _summary(kept)
     if n_terms > vocab_size:
-        stored = stored.where(vocabulary_cut(stored.where("head"), vocab_size))
-        n_terms, term_bytes = term_totals(stored.where("head"))
+        kept = kept.where(vocabulary_cut(kept.where("head"), vocab_size))
+        _, sums, n_terms, term_bytes = _summary(kept)
+    # tf * ln((N + 1) / (df + 1)), summed before N was known.
+    weights = {k: math.log(n_docs + 1) * tf - tf_log_df for k, (tf, tf_log_df) in sums.items()}
     return BayesStatistics(
-        stored.select("term", "cat", "fold", "tf", "idf"),
+        kept.select("term", "cat", "fold", "tf", idf(n_docs, F.col("df")).alias("idf")),
         docs,
+        weights,
         sorted({cat for cat, _ in docs}),
         n_terms,
         term_bytes,
     )
 
 
+def _summary(stored: DataFrame) -> tuple[dict, dict, int, int]:
+    """Documents, weight sums, number of terms and their bytes: one small aggregation."""
+    grouped = stored.groupBy("cat", "fold").agg(
+        F.sum(F.when(F.col("term").isNull(), F.col("docs")).otherwise(0)).alias("docs"),
+        F.sum("tf").alias("tf"),
+        F.sum(F.col("tf") * F.log(F.col("df") + 1)).alias("tf_log_df"),
+        F.count_if(F.col("head") & F.col("term").isNotNull()).alias("terms"),
+        F.sum(F.when(F.col("head"), F.octet_length("term"))).alias("bytes"),
+    )
+    rows = collect_small(grouped)
+    if any(row["cat"] is None for row in rows):
+        raise ValueError("every document needs a class")
+    return (
+        {(row["cat"], row["fold"]): row["docs"] for row in rows},
+        {(row["cat"], row["fold"]): (row["tf"], row["tf_log_df"]) for row in rows},
+        sum(row["terms"] for row in rows),
+        sum(row["bytes"] or 0 for row in rows),
+    )
+
+
 class BayesModels(NamedTuple):
     """Naive Bayes models, one per held-out fold, sharing one class order.
 
@@ -114,21 +139,6 @@ class BayesModels(NamedTuple):
     statistics: BayesStatistics
     holdouts: list[int]
     sums: DataFrame
-    totals: dict[int, Row]
-
-    @property
-    def classes(self) -> list[str]:
-        return self.statistics.classes
-
-    def log_prior(self, holdout: int, cat: str, smoothing: float) -> float:
-        docs = self.statistics.trained_on(holdout)
-        share = sum(docs.values()) + smoothing * len(docs)
-        return math.log(docs[cat] + smoothing) - math.log(share)
-
-    def log_total(self, holdout: int, cat: str, smoothing: float) -> float:
-        """Logarithm of the smoothed weight of all terms in a class."""
-        seen = self.totals[holdout][f"s{self.classes.index(cat)}"] if holdout in self.totals else 0.0
-        return math.log(seen + smoothing * self.statistics.n_terms)
 
 
 def fit_models(statistics: BayesStatistics, holdouts: Sequence[int] = (TEST_FOLD,)) -> BayesModels:
@@ -138,25 +148,21 @@ def fit_models(statistics: BayesStatistics, holdouts: Sequence[int] = (TEST_FOLD
         if unseen:
             raise ValueError(f"no training documents of {unseen} when fold {holdout} is held out")
     trains = (F.col("fold") != F.col("holdout")) & (F.col("fold") != TEST_FOLD)
-    weight = F.col("tf") * F.col("idf")
+    weight = F.when(trains, F.col("tf") * F.col("idf")).otherwise(0.0)
     sums = (
         statistics.terms.withColumn("holdout", F.explode(F.array(*[F.lit(h) for h in holdouts])))
+        .withColumn("weight", weight)
         .groupBy("holdout", "term")
         .agg(
             F.first("idf").alias("idf"),
             *[
-                F.sum(F.when(trains & (F.col("cat") == c), weight).otherwise(0.0)).alias(f"s{k}")
+                F.sum(F.when(F.col("cat") == c, F.col("weight")).otherwise(0.0)).alias(f"s{k}")
                 for k, c in enumerate(statistics.classes)
             ],
         )
         .withColumnRenamed("holdout", "fold")
     )
-    totals = sums.groupBy("fold").agg(
-        *[F.sum(f"s{k}").alias(f"s{k}") for k in range(len(statistics.classes))]
-    )
-    return BayesModels(
-        statistics, list(holdouts), sums, {row["fold"]: row for row in totals.collect()}
-    )
+    return BayesModels(statistics, list(holdouts), sums)
 
 
 def class_priors(corpus: DataFrame, smoothing: float = 1.0) -> DataFrame:
@@ -169,27 +175,27 @@ def class_priors(corpus: DataFrame, smoothing: float = 1.0) -> DataFrame:
     return counts.select("cat", (F.log(F.col("n") + smoothing) - F.log(total)).alias("prior"))
 
 
+def _double(value: float) -> str:
+    return f"{float(value)!r}D"
+
+
 def term_weights(models: BayesModels, smoothing: float = 1.0) -> DataFrame:
     """``(cat, term, weight)``: log weight of every vocabulary term in every class."""
+    statistics = models.statistics
     rows = [
         F.struct(
             F.lit(c).alias("cat"),
             F.col("term"),
             (
                 F.log(F.col(f"s{k}") + smoothing)
-                - F.lit(models.log_total(TEST_FOLD, c, smoothing))
+                - F.lit(statistics.log_total(TEST_FOLD, c, smoothing))
             ).alias("weight"),
         )
-        for k, c in enumerate(models.classes)
+        for k, c in enumerate(statistics.classes)
     ]
     return models.sums.where(F.col("fold") == TEST_FOLD).select(F.inline(F.array(*rows)))
 
 
-def _by_fold(values: dict[int, float]) -> Column:
-    pairs = [F.lit(x) for pair in values.items() for x in pair]
-    return F.create_map(*pairs)[F.col("fold")]
-
-
 def score(
     corpus: DataFrame,
     models: BayesModels,
@@ -200,25 +206,26 @@ def score(
     """Score every document of a held-out fold with the model that did not see it.
 
     Gives ``(*key, cat, fold, smoothing, pred_cat, scores)``, where ``scores`` lists the log score
-    per class in the order of ``models.classes``. Terms a class never saw share one weight, so that
-    part is a single product per document and the lookup table only carries the differences. A
-    document's terms sit next to each other when they are summed, so the map side folds them into
+    per class in the order of ``statistics.classes``. Terms a class never saw share one weight, so
+    that part is a single product per document and the lookup table only carries the differences.
+    A document's terms sit next to each other when they are summed, so the map side folds them into
     one row before anything is shuffled.
     """
-    grid = [(g, s, k, c) for g, s in enumerate(smoothings) for k, c in enumerate(models.classes)]
-    table = models.sums.select(
+    statistics, holdouts = models.statistics, models.holdouts
+    cells = [
+        (f"d{g}_{k}", s, k)
+        for g, s in enumerate(smoothings)
+        for k in range(len(statistics.classes))
+    ]
+    table = models.sums.selectExpr(
         "fold",
         "term",
         "idf",
-        *[
-            (F.col("idf") * (F.log(F.col(f"s{k}") + s) - math.log(s))).alias(f"d{g}_{k}")
-            for g, s, k, _ in grid
-        ],
+        *[f"idf * (ln(s{k} + {_double(s)}) - {_double(math.log(s))}) AS {d}" for d, s, k in cells],
     )
-    size = models.statistics.row_bytes(1 + len(grid)) * len(models.holdouts)
     found = lookup_join(
         term_counts(
-            corpus.where(F.col("fold").isin(models.holdouts)),
+            corpus.where(F.col("fold").isin(holdouts)),
             *key,
             "cat",
             "fold",
@@ -227,71 +234,86 @@ def score(
         ),
         table,
         ["fold", "term"],
-        size,
+        statistics.row_bytes(1 + len(cells)) * len(holdouts),
         spread_by=key,
         how="left",
     )
-    tf = F.col("tf")
     summed = found.groupBy(*key, "cat", "fold").agg(
-        F.coalesce(F.sum(tf * F.col("idf")), F.lit(0.0)).alias("weight"),
-        *[
-            F.coalesce(F.sum(tf * F.col(f"d{g}_{k}")), F.lit(0.0)).alias(f"d{g}_{k}")
-            for g, _, k, _ in grid
-        ],
+        F.expr("coalesce(sum(tf * idf), 0D) AS weight"),
+        *[F.expr(f"coalesce(sum(tf * {d}), 0D) AS {d}") for d, _, _ in cells],
     )
 
-    def class_score(g: int, s: float, k: int, c: str) -> Column:
-        prior = _by_fold({h: models.log_prior(h, c, s) for h in models.holdouts})
-        rest = _by_fold({h: math.log(s) - models.log_total(h, c, s) for h in models.holdouts})
-        return prior + F.col("weight") * rest + F.col(f"d{g}_{k}")
+    def by_fold(value: Callable[[int], float]) -> str:
+        whens = " ".join(f"WHEN {h} THEN {_double(value(h))}" for h in holdouts)
+        return f"CASE fold {whens} END"
 
     # Equal scores go to the class that comes first in the label order of that model.
-    rank = {
-        c: _by_fold({h: list(models.statistics.trained_on(h)).index(c) for h in models.holdouts})
-        for c in models.classes
-    }
-    by_smoothing = []
+    order = {h: list(statistics.trained_on(h)) for h in holdouts}
+    per_smoothing = []
     for g, s in enumerate(smoothings):
-        scored = [
-            F.struct(
-                class_score(g, s, k, c).alias("score"),
-                (-rank[c]).alias("order"),
-                F.lit(c).alias("cat"),
-            )
-            for k, c in enumerate(models.classes)
-        ]
-        by_smoothing.append(
-            F.struct(F.lit(float(s)).alias("smoothing"), F.array(*scored).alias("scored"))
+        scored = []
+        for k, c in enumerate(statistics.classes):
+            prior = by_fold(lambda h: statistics.log_prior(h, c, s))
+            rest = by_fold(lambda h: math.log(s) - statistics.log_total(h, c, s))
+            rank = by_fold(lambda h: -order[h].index(c))
+            value = f"{prior} + weight * {rest} + d{g}_{k}"
+            scored.append(f"named_struct('score', {value}, 'rank', {rank}, 'class', {k})")
+        per_smoothing.append(
+            f"named_struct('smoothing', {_double(s)}, 'scored', array({', '.join(scored)}))"
         )
-    return summed.select(*key, "cat", "fold", F.inline(F.array(*by_smoothing))).select(
+    classes = F.array(*[F.lit(c) for c in statistics.classes])
+    return summed.select(
+        *key, "cat", "fold", F.expr(f"inline(array({', '.join(per_smoothing)}))")
+    ).select(
         *key,
         "cat",
         "fold",
         "smoothing",
-        F.array_max("scored")["cat"].alias("pred_cat"),
+        classes[F.expr("array_max(scored).class")].alias("pred_cat"),
         F.col("scored.score").alias("scores"),
     )
 
 
-def cross_validate(
+def validate(
     corpus: DataFrame,
     statistics: BayesStatistics,
     *key: str,
     smoothings: Sequence[float] = (1.0, 0.5),
-    metric: str = "f1",
     stop_words: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``(smoothing, avg_metric, std_metric)`` over the training folds, in one scoring pass."""
-    folds = sorted({fold for _, fold in statistics.docs if fold != TEST_FOLD})
-    models = fit_models(statistics, folds)
+    """Stored ``(smoothing, fold, cat, pred_cat, n)`` over all folds, the test part included.
+
+    One scoring pass judges every document under every smoothing with the model that did not see
+    it; tuning, and the test result of whichever smoothing wins, are read from this small table.
+    """
+    models = fit_models(statistics, sorted({fold for _, fold in statistics.docs}))
     predictions = score(corpus, models, *key, smoothings=smoothings, stop_words=stop_words)
-    per_fold = metrics(confusion_long(predictions, "smoothing", "fold"), "smoothing", "fold")
-    return per_fold.groupBy("smoothing").agg(
-        F.avg(metric).alias("avg_metric"), F.stddev_pop(metric).alias("std_metric")
+    return written(confusion_long(predictions, "smoothing", "fold"), "validation")
+
+
+def validation_metrics(validation: DataFrame, metric: str = "f1") -> DataFrame:
+    """``(smoothing, avg_metric, std_metric)`` over the training folds."""
+    folds = validation.where(F.col("fold") != TEST_FOLD)
+    return (
+        metrics(folds, "smoothing", "fold")
+        .groupBy("smoothing")
+        .agg(F.avg(metric).alias("avg_metric"), F.stddev_pop(metric).alias("std_metric"))
     )
 
 
-def best_smoothing(validation: DataFrame, smoothings: Sequence[float]) -> float:
-    """Smoothing with the highest mean metric; the earlier one in the grid wins a tie."""
-    means = {row["smoothing"]: row["avg_metric"] for row in collect_small(validation)}
+def best_smoothing(
+    validation: DataFrame, smoothings: Sequence[float], metric: str = "f1"
+) -> float:
+    """Smoothing with the highest mean metric; the earlier one in the grid wins a tie.
+
+    Means are rounded first: their last digits depend on the order in which folds are added up.
+    """
+    rows = collect_small(validation_metrics(validation, metric))
+    means = {row["smoothing"]: round(row["avg_metric"], 12) for row in rows}
     return max(smoothings, key=lambda s: means[float(s)])
+
+
+def tested(validation: DataFrame, smoothing: float) -> DataFrame:
+    """Confusion counts ``(cat, pred_cat, n)`` of the test part under one smoothing."""
+    chosen = (F.col("fold") == TEST_FOLD) & (F.col("smoothing") == smoothing)
+    return validation.where(chosen).select("cat", "pred_cat", "n")

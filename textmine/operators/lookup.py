@@ -18,17 +18,16 @@ def lookup_join(
     table_bytes: int,
     spread_by: Sequence[str],
     how: str = "inner",
-    limit: int = BROADCAST_LIMIT_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``rows`` to ``table``, unique on ``on``, without ever gathering a hot key in one task.
 
-    A table whose measured size is within ``limit`` is broadcast: no row of ``rows`` moves. A larger
-    one is copied once per salt and joined on key and salt, so a key that a third of all rows share
-    is spread over ``salts`` tasks. Both ways give the same rows.
+    A table whose measured size is within ``BROADCAST_LIMIT_BYTES`` is broadcast: no row of ``rows``
+    moves. A larger one is copied once per salt and joined on key and salt, so a key that a third of
+    all rows share is spread over ``salts`` tasks. Both ways give the same rows.
     """
     on = list(on)
-    if table_bytes <= limit:
+    if table_bytes <= BROADCAST_LIMIT_BYTES:
         return rows.join(F.broadcast(table), on, how)
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     salted_table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -82,9 +82,21 @@ def predict(model: CrossValidatorModel, test: DataFrame) -> DataFrame:
 
 
 def fit_linear_svc(
-    train: DataFrame, max_iter: int = 100, reg_param: float = 0.0, aggregation_depth: int = 2
+    train: DataFrame,
+    max_iter: int = 100,
+    reg_param: float = 0.0,
+    aggregation_depth: int = 2,
+    rows_per_task: int = 2000,
 ) -> LinearSVCModel:
-    """Linear support vector classifier for a 0/1 ``label``. Reads ``train`` once per iteration."""
+    """Linear support vector classifier for a 0/1 ``label``; give it a stored or cached table.
+
+    Every step of the optimiser is a job over ``train``, many per iteration. A table with fewer
+    than ``rows_per_task`` rows per partition is therefore merged into fewer partitions first;
+    a bigger one keeps its partitions. Deepen the aggregation for thousands of partitions.
+    """
+    tasks = max(1, train.count() // rows_per_task)
+    if tasks < train.rdd.getNumPartitions():
+        train = train.coalesce(tasks)
     return LinearSVC(
         maxIter=max_iter, regParam=reg_param, aggregationDepth=aggregation_depth
     ).fit(train)
