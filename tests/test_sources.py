@@ -113,3 +113,11 @@ def test_describe_and_checks(spark, frame):
     assert op.row_count(frame).first()["n"] == 7
     assert op.schema_rows(frame) == [("text", "string"), ("cat", "string")]
     assert [r["cat"] for r in op.preview(frame, 2, "cat").collect()] == ["0", "1"]
+
+
+def test_row_ids_are_unique_and_stay(spark):
+    df = spark.range(50).select((F.col("id") % 3).alias("v")).repartition(5)
+    numbered = sources.with_row_id(df)
+    first = sorted(numbered.collect())
+    assert len({r["doc_id"] for r in first}) == 50
+    assert sorted(numbered.repartition(3).collect()) == first

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmine.functions.splits import TEST_FOLD
+from textmine.functions.tokens import content_words
 from textmine.operators.evaluation import confusion_long, metrics
 from textmine.operators.lookup import lookup_join
 from textmine.operators.terms import MIN_DF, VOCAB_SIZE, idf, term_counts, vocabulary_cut
@@ -223,15 +224,11 @@ def score(
         "idf",
         *[f"idf * (ln(s{k} + {_double(s)}) - {_double(math.log(s))}) AS {d}" for d, s, k in cells],
     )
+    # Occurrences are summed one by one, which costs less than counting them per document first.
+    held_out = corpus.where(F.col("fold").isin(holdouts))
+    tokens = F.explode_outer(content_words("text", stop_words)).alias("term")
     found = lookup_join(
-        term_counts(
-            corpus.where(F.col("fold").isin(holdouts)),
-            *key,
-            "cat",
-            "fold",
-            stop_words=stop_words,
-            keep_empty=True,
-        ),
+        held_out.select(*key, "cat", "fold", tokens),
         table,
         ["fold", "term"],
         statistics.row_bytes(1 + len(cells)) * len(holdouts),
@@ -239,8 +236,7 @@ def score(
         how="left",
     )
     summed = found.groupBy(*key, "cat", "fold").agg(
-        F.expr("coalesce(sum(tf * idf), 0D) AS weight"),
-        *[F.expr(f"coalesce(sum(tf * {d}), 0D) AS {d}") for d, _, _ in cells],
+        *[F.expr(f"coalesce(sum({d}), 0D) AS {d}") for d in ("idf", *[d for d, _, _ in cells])]
     )
 
     def by_fold(value: Callable[[int], float]) -> str:
@@ -256,7 +252,7 @@ def score(
             prior = by_fold(lambda h: statistics.log_prior(h, c, s))
             rest = by_fold(lambda h: math.log(s) - statistics.log_total(h, c, s))
             rank = by_fold(lambda h: -order[h].index(c))
-            value = f"{prior} + weight * {rest} + d{g}_{k}"
+            value = f"{prior} + idf * {rest} + d{g}_{k}"
             scored.append(f"named_struct('score', {value}, 'rank', {rank}, 'class', {k})")
         per_smoothing.append(
             f"named_struct('smoothing', {_double(s)}, 'scored', array({', '.join(scored)}))"

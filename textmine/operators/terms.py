@@ -25,20 +25,14 @@ def term_counts(
     corpus: DataFrame,
     *keep: str,
     stop_words: Sequence[str] | None = None,
-    keep_empty: bool = False,
     document_rows: bool = False,
 ) -> DataFrame:
-    """Long ``(*keep, term, tf)``.
-
-    ``keep_empty`` gives a document without terms one row without a term, ``document_rows`` gives
-    every document one more such row.
-    """
+    """Long ``(*keep, term, tf)``; with ``document_rows`` each document adds a row without a term."""
     counted = count_text_terms("text", stop_words)
     if document_rows:
         document = F.expr("array(named_struct('term', cast(null AS string), 'tf', 0L))")
         counted = F.concat(document, counted)
-    explode = F.inline_outer if keep_empty else F.inline
-    return corpus.select(*keep, explode(counted))
+    return corpus.select(*keep, F.inline(counted))
 
 
 def document_frequency(corpus: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from textmine.sources.files import (
     write_parquet,
 )
 from textmine.sources.models import load_model, load_pipeline, save_model
-from textmine.sources.scratch import scratch_dir, scratch_path, written
+from textmine.sources.scratch import scratch_dir, scratch_path, with_row_id, written
 from textmine.sources.tables import (
     cache_table,
     collect_small,
@@ -40,6 +40,7 @@ __all__ = [
     "scratch_path",
     "spread",
     "uncache_table",
+    "with_row_id",
     "write_csv",
     "write_json",
     "write_parquet",

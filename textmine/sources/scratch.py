@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
 
@@ -32,3 +33,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_row_id(df: DataFrame, name: str = "doc_id") -> DataFrame:
+    """Give every row a number once and go on from the stored table, where it no longer changes.
+
+    For sources without a key. A hash of the content will not do: copies would share it.
+    """
+    return written(df.withColumn(name, F.monotonically_increasing_id()), "rows")
