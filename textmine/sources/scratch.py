@@ -25,7 +25,9 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/textmine/{name}-{uuid.uuid4().hex}"
+    """A fresh path in this application's folder, which can go once the application has ended."""
+    app = spark.conf.get("spark.app.id", "local")
+    return f"{scratch_dir(spark)}/textmine/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
