@@ -75,3 +75,20 @@ def test_grid_of_several_values_and_labels(corpus):
     assert plans.class_labels(model) == [
         r["cat"] for r in op.label_index(training).orderBy("label").collect()
     ]
+
+
+def test_grid_over_several_parameters(corpus):
+    pipeline = plans.naive_bayes_pipeline()
+    grid = plans.param_grid(
+        pipeline, {"NaiveBayes": {"smoothing": [1.0, 0.5], "modelType": ["multinomial", "complement"]}}
+    )
+    assert len(grid) == 4
+    features = plans.add_features(plans.fit_features(corpus), corpus).select("cat", "fold", "features")
+    training = features.where("fold <> -1").cache()
+    model = plans.cross_validator(pipeline, grid, fold_col="fold").fit(training)
+    rows = plans.validation_metrics(model, training).collect()
+    assert {(r["smoothing"], r["modelType"]) for r in rows} == {
+        (s, m) for s in (1.0, 0.5) for m in ("multinomial", "complement")
+    }
+    with pytest.raises(ValueError, match="LinearSVC"):
+        plans.param_grid(pipeline, {"LinearSVC": {"maxIter": [1]}})

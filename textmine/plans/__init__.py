@@ -3,6 +3,7 @@ from textmine.plans.classification import (
     cross_validator,
     fit_linear_svc,
     naive_bayes_pipeline,
+    param_grid,
     predict,
     smoothing_grid,
     validation_metrics,
@@ -23,6 +24,7 @@ __all__ = [
     "fit_features",
     "fit_linear_svc",
     "naive_bayes_pipeline",
+    "param_grid",
     "predict",
     "preprocessing_pipeline",
     "smoothing_grid",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, NaiveBayes
@@ -25,10 +25,23 @@ def naive_bayes_pipeline(cat: str = "cat", smoothing: float = 1.0) -> Pipeline:
     )
 
 
+def param_grid(pipeline: Pipeline, values: Mapping[str, Mapping[str, Sequence]]) -> list[dict]:
+    """Grid over stage parameters, such as ``{"NaiveBayes": {"smoothing": [1.0, 0.5]}}``.
+
+    Stages go by their class name; several stages and parameters multiply.
+    """
+    stages = {type(stage).__name__: stage for stage in pipeline.getStages()}
+    builder = ParamGridBuilder()
+    for name, params in values.items():
+        if name not in stages:
+            raise ValueError(f"no stage {name}; the pipeline has {sorted(stages)}")
+        for param, options in params.items():
+            builder = builder.addGrid(stages[name].getParam(param), list(options))
+    return builder.build()
+
+
 def smoothing_grid(pipeline: Pipeline, values: Sequence[float] = (1.0, 0.5)) -> list[dict]:
-    """Parameter grid over the smoothing of the pipeline's naive Bayes stage."""
-    bayes = next(stage for stage in pipeline.getStages() if isinstance(stage, NaiveBayes))
-    return ParamGridBuilder().addGrid(bayes.smoothing, list(values)).build()
+    return param_grid(pipeline, {"NaiveBayes": {"smoothing": values}})
 
 
 def cross_validator(
@@ -62,12 +75,13 @@ def cross_validator(
 def validation_metrics(model: CrossValidatorModel, train: DataFrame) -> DataFrame:
     """One row per grid entry: its parameters, and mean and deviation of the metric."""
     maps = model.getEstimatorParamMaps()
-    names = [param.name for param in maps[0]]
+    types = {bool: "boolean", int: "bigint", float: "double", str: "string"}
+    columns = [f"{param.name} {types[type(value)]}" for param, value in maps[0].items()]
     rows = [
-        (*[float(value) for value in grid.values()], float(mean), float(deviation))
+        (*grid.values(), float(mean), float(deviation))
         for grid, mean, deviation in zip(maps, model.avgMetrics, model.stdMetrics)
     ]
-    schema = ", ".join(f"{n} double" for n in [*names, "avg_metric", "std_metric"])
+    schema = ", ".join([*columns, "avg_metric double", "std_metric double"])
     return copy_to(train.sparkSession, rows, schema)
 
 

@@ -46,7 +46,11 @@ def preprocessing_pipeline(
     vocab_size: int = VOCAB_SIZE,
     stop_words: Sequence[str] | None = None,
 ) -> Pipeline:
-    """Unfitted pipeline: tokens, stop words, term frequency, TF-IDF. ``text`` must not be null."""
+    """Unfitted pipeline: tokens, stop words, term frequency, TF-IDF. ``text`` must not be null.
+
+    Fitting it reads the text twice, and its vectoriser brings up to ``vocab_size`` candidates per
+    partition to the driver. ``fit_features`` gives the same features from one pass without that.
+    """
     return Pipeline(
         stages=[
             *_token_stages(stop_words),
