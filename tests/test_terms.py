@@ -73,8 +73,9 @@ def test_salted_join_equals_broadcast_on_a_hot_key(spark, how):
     assert sorted(small.select("id", "k", "v").collect(), key=str) == sorted(
         large.select("id", "k", "v").collect(), key=str
     )
-    plan = large._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
 
 
 def test_text_pass_has_one_shuffle(corpus):

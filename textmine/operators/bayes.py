@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from textmine.functions.splits import TEST_FOLD
 from textmine.functions.tokens import content_words
 from textmine.operators.evaluation import confusion_long, metrics
-from textmine.operators.lookup import lookup_join
+from textmine.operators.lookup import broadcastable, lookup_join
 from textmine.operators.terms import MIN_DF, VOCAB_SIZE, idf, term_counts, vocabulary_cut
 from textmine.sources.scratch import written
 from textmine.sources.tables import collect_small
@@ -224,19 +224,22 @@ def score(
         "idf",
         *[f"idf * (ln(s{k} + {_double(s)}) - {_double(math.log(s))}) AS {d}" for d, s, k in cells],
     )
-    # Occurrences are summed one by one, which costs less than counting them per document first.
+    size = statistics.row_bytes(1 + len(cells)) * len(holdouts)
     held_out = corpus.where(F.col("fold").isin(holdouts))
-    tokens = F.explode_outer(content_words("text", stop_words)).alias("term")
-    found = lookup_join(
-        held_out.select(*key, "cat", "fold", tokens),
-        table,
-        ["fold", "term"],
-        statistics.row_bytes(1 + len(cells)) * len(holdouts),
-        spread_by=key,
-        how="left",
-    )
+    if broadcastable(size):
+        # No row moves, and adding up occurrences costs less than counting them first.
+        tokens = F.explode_outer(content_words("text", stop_words)).alias("term")
+        rows = held_out.select(*key, "cat", "fold", tokens, F.lit(1).cast("long").alias("tf"))
+    else:
+        rows = term_counts(
+            held_out, *key, "cat", "fold", stop_words=stop_words, document_rows=True
+        )
+    found = lookup_join(rows, table, ["fold", "term"], size, spread_by=key, how="left")
     summed = found.groupBy(*key, "cat", "fold").agg(
-        *[F.expr(f"coalesce(sum({d}), 0D) AS {d}") for d in ("idf", *[d for d, _, _ in cells])]
+        *[
+            F.expr(f"coalesce(sum(tf * {d}), 0D) AS {d}")
+            for d in ("idf", *[d for d, _, _ in cells])
+        ]
     )
 
     def by_fold(value: Callable[[int], float]) -> str:

@@ -11,6 +11,10 @@ BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 SALTS = 64
 
 
+def broadcastable(table_bytes: int) -> bool:
+    return table_bytes <= BROADCAST_LIMIT_BYTES
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
@@ -27,8 +31,9 @@ def lookup_join(
     all rows share is spread over ``salts`` tasks. Both ways give the same rows.
     """
     on = list(on)
-    if table_bytes <= BROADCAST_LIMIT_BYTES:
+    if broadcastable(table_bytes):
         return rows.join(F.broadcast(table), on, how)
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     salted_table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_rows.join(salted_table, [*on, "_salt"], how).drop("_salt")
+    # Spark's own estimate does not see the copies and could still try to broadcast them.
+    return salted_rows.join(salted_table.hint("merge"), [*on, "_salt"], how).drop("_salt")
