@@ -4,8 +4,10 @@ from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+import __spark_entry__
 from textmine.checks.compare import compare, duckdb_tables
+from textmine.checks.oracles import oracles
+from textmine.checks.queries import registered
 
 FOLDER = "/root/testdata/sf0.001"
 WITHOUT_SQL = {"random_split", "svc_confusion", "svc_f1"}
@@ -21,10 +23,12 @@ def tables():
 
 
 def test_registry():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert set(oracle_sql()) <= set(queries())
+    assert set(registered()) - set(oracles()) == WITHOUT_SQL
+    assert set(oracles()) <= set(registered())
+    assert set(registered()) <= set(__spark_entry__.queries())
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(registered()))
 def test_query(spark, tables, name):
     assert compare(spark, tables, FOLDER, name) == ""
