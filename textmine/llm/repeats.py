@@ -27,6 +27,8 @@ from textmine.llm.wordhash import MIX, SpanHash, gram_hashes, hash_words, scramb
 WINDOW = 20
 ANCHOR_WORDS = 6
 NULL_ID = -(2**63)
+# A place is start * PLACES + count; a stretch has fewer windows than that.
+PLACES = 1024
 
 
 def _window_starts(offsets: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +67,7 @@ class _Stretches:
         self.count = np.diff(np.concatenate([at, [len(starts)]]))
         self.anchor = anchors[seat[at]] if len(at) else np.empty(0, np.uint64)
         content = SpanHash(hashes)(self.start, self.start + self.count + window - 1)
-        place = ((seat[at] - self.start) * 1024 + self.count).astype(np.uint64)
+        place = ((seat[at] - self.start) * PLACES + self.count).astype(np.uint64)
         self.content = scramble(content ^ (place * MIX))
 
 
@@ -74,58 +76,49 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def _seed(window: int):
+    """Stretches of ``(*key, text)``: start and count packed in one number."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 2):
-                flat, offsets = split_batch(part.column(2))
+            keys = batch.num_columns - 1
+            for part in slices(batch, keys):
+                flat, offsets = split_batch(part.column(keys))
                 found = _Stretches(hash_words(flat), offsets, window)
                 rows = pa.array(found.owner)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        _signed(found.anchor),
-                        _signed(found.content),
-                        part.column(0).take(rows),
-                        part.column(1).take(rows),
-                        pa.array((found.start - offsets[found.owner]).astype(np.int32)),
-                        pa.array(found.count.astype(np.int32)),
-                    ],
-                    ["anchor", "content", "doc", "hash", "start", "count"],
-                )
+                place = (found.start - offsets[found.owner]) * PLACES + found.count
+                columns = [_signed(found.anchor), _signed(found.content), pa.array(place)]
+                columns += [part.column(k).take(rows) for k in range(keys)]
+                names = ["anchor", "content", "place", *batch.schema.names[:keys]]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return task
 
 
 def _listed(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, start and count of all entries of a column of ``(start, count)`` lists."""
-    lists = column.cast(pa.large_list(column.type.value_type)) if pa.types.is_list(column.type) else column
-    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = lists.flatten()
-    if not len(flat):
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    start, count = (pc.struct_field(flat, i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-    return np.repeat(np.arange(len(sizes)), sizes), start, count
+    """Row, start and count of all entries of a column of packed places."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    place = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.repeat(np.arange(len(sizes)), sizes), place // PLACES, place % PLACES
 
 
 def _compare(window: int):
+    """Hash and place of every window in the listed stretches of ``(*key, text, stretches)``."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 2):
-                flat, offsets = split_batch(part.column(2))
+            keys = batch.num_columns - 2
+            for part in slices(batch, keys):
+                flat, offsets = split_batch(part.column(keys))
                 span_hash = SpanHash(hash_words(flat))
-                row, start, count = _listed(part.column(3))
+                row, start, count = _listed(part.column(keys + 1))
                 each = np.repeat(np.arange(len(row)), count)
                 local = start[each] + np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
                 at = local + offsets[row[each]]
                 owner = pa.array(row[each])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        _signed(span_hash(at, at + window)),
-                        part.column(0).take(owner),
-                        part.column(1).take(owner),
-                        pa.array(local.astype(np.int32)),
-                    ],
-                    ["content", "doc", "hash", "start"],
-                )
+                columns = [_signed(span_hash(at, at + window)), pa.array(local * PLACES + 1)]
+                columns += [part.column(k).take(owner) for k in range(keys)]
+                names = ["content", "place", *batch.schema.names[:keys]]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return task
 
@@ -199,17 +192,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     stay as they are; an empty table gives an empty result; other columns are ignored.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    ids = docs.select(F.col(doc_id).alias("id")).groupBy("id").agg(F.count("*").alias("n"))
-    distinct_ids = ids.where((F.col("n") > 1) | F.col("id").isNull()).isEmpty()
-    # The text hash tells rows apart only where the id does not.
-    own = F.lit(0).cast("long") if distinct_ids else F.coalesce(text_hash(F.col(text)), F.lit(0).cast("long"))
     doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID).cast("long"))
-    texts = docs.select(doc.alias("doc"), own.alias("hash"), F.col(text).alias("text"), F.col(doc_id).alias("id"))
-    rows = texts.select("doc", "hash", "text")
-
-    seeds = rows.mapInArrow(
-        _seed(window), "anchor long, content long, doc long, hash long, start int, count int"
-    )
+    texts = docs.select(doc.alias("doc"), F.col(text).alias("text"))
+    repeated_ids = texts.groupBy("doc").agg(F.count("*").alias("n")).where((F.col("n") > 1) | (F.col("doc") == NULL_ID))
+    key, longs = ["doc"], "doc long"
+    if not repeated_ids.isEmpty():
+        # Where an id does not tell rows apart, a hash of the text does.
+        own = F.coalesce(text_hash(F.col("text")), F.lit(0).cast("long"))
+        texts = texts.withColumn("hash", own)
+        key, longs = ["doc", "hash"], "doc long, hash long"
+    texts = texts.select(*key, "text")
+
+    seeds = texts.mapInArrow(_seed(window), f"anchor long, content long, place long, {longs}")
     met = (
         seeds.groupBy("anchor")
         .agg(
@@ -222,15 +216,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
         .select("anchor", "first", (F.col("low") == F.col("high")).alias("equal"))
     )
     seen = seeds.drop("content").join(met.hint("merge"), "anchor")
-    stretch = F.struct("start", "count")
-    # One pass over the occurrences: what goes for certain, and what has to be compared.
-    per_doc = seen.where(~F.col("equal") | (F.col("doc") > F.col("first"))).groupBy("doc", "hash").agg(
-        F.collect_list(F.when(F.col("equal"), stretch)).alias("gone"),
-        F.collect_list(F.when(~F.col("equal"), stretch)).alias("open"),
+    # What goes for certain as it is, what has to be compared below zero: one list that both joins
+    # below read, as they read the same texts, so that texts and lists are each shuffled once.
+    signed = F.when(F.col("equal"), F.col("place")).otherwise(-F.col("place"))
+    per_doc = (
+        seen.where(~F.col("equal") | (F.col("doc") > F.col("first")))
+        .groupBy(*key)
+        .agg(F.collect_list(signed).alias("places"))
     )
-    asked = rows.join(per_doc.where(F.size("open") > 0).drop("gone").hint("merge"), ["doc", "hash"])
-    windows = asked.select("doc", "hash", "text", "open").mapInArrow(
-        _compare(window), "content long, doc long, hash long, start int"
+    asked = texts.join(per_doc.hint("merge"), key).where(F.exists("places", lambda p: p < 0))
+    to_compare = F.transform(F.filter("places", lambda p: p < 0), lambda p: -p)
+    windows = asked.select(*key, "text", to_compare).mapInArrow(
+        _compare(window), f"content long, place long, {longs}"
     )
     earliest = (
         windows.groupBy("content")
@@ -239,12 +236,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
         .select("content", "first")
     )
     later = windows.join(earliest.hint("merge"), "content").where(F.col("doc") > F.col("first"))
-    singles = later.groupBy("doc", "hash").agg(
-        F.collect_list(F.struct("start", F.lit(1).alias("count"))).alias("more")
-    )
-    empty = F.array().cast("array<struct<start: int, count: int>>")
-    joined = texts.join(per_doc.drop("open").hint("merge"), ["doc", "hash"], "left").join(
-        singles.hint("merge"), ["doc", "hash"], "left"
-    )
-    cut = joined.select("id", "text", F.concat(F.coalesce("gone", empty), F.coalesce("more", empty)).alias("spans"))
+    singles = later.groupBy(*key).agg(F.collect_list("place").alias("more"))
+    empty = F.array().cast("array<long>")
+    joined = texts.join(per_doc.hint("merge"), key, "left").join(singles.hint("merge"), key, "left")
+    gone = F.concat(F.filter(F.coalesce("places", empty), lambda p: p > 0), F.coalesce("more", empty))
+    own_id = F.when(F.col("doc") != NULL_ID, F.col("doc")).cast(kind)
+    cut = joined.select(own_id.alias("id"), "text", gone.alias("gone"))
     return cut.mapInArrow(_remove(window), f"doc_id {kind}, {RESULT}")
