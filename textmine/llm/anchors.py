@@ -121,12 +121,29 @@ def _links(anchor: np.ndarray, values: np.ndarray, radius: int) -> tuple[np.ndar
     return np.concatenate(a), np.concatenate(b)
 
 
+def _forest(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Links between rows as (smallest fingerprint of the group, member): one per member and group."""
+    nodes, at = np.unique(values[np.concatenate([a, b])], axis=0, return_inverse=True)
+    at = at.reshape(-1)
+    a, b = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        before = root.copy()
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, a, low)
+        np.minimum.at(root, b, low)
+        root = root[root]
+        if np.array_equal(root, before):
+            break
+    member = np.flatnonzero(root != np.arange(len(nodes)))
+    return np.concatenate([nodes[root[member]], nodes[member]], axis=1)
+
+
 def _compare(checked: Sequence[str], radius: int):
     names = [f"{side}_{name}" for side in "ab" for name in checked]
 
     def emit(anchor: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-        a, b = _links(anchor, values.view(np.uint64), radius)
-        pairs = np.unique(np.concatenate([values[a], values[b]], axis=1), axis=0)
+        pairs = _forest(values, *_links(anchor, values.view(np.uint64), radius))
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(pairs.shape[1])], names)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +172,8 @@ def anchor_links(prints: DataFrame, placed: Sequence[str], checked: Sequence[str
     """Links ``(a, b)`` between nodes, the hex text of the ``checked`` fingerprints.
 
     ``placed`` fingerprints decide the anchors; two that share one are linked if their ``checked``
-    fingerprints differ in at most ``radius`` bits. With one fingerprint both placed and checked and
+    fingerprints differ in at most ``radius`` bits. Of a connected group only a spanning part of its
+    links is given, so their number grows with the members and not with the pairs. With one fingerprint both placed and checked and
     a radius up to three no pair is missed. Only distinct fingerprints are copied.
     """
     longs = ", ".join(f"{name} long" for name in checked)
@@ -163,8 +181,16 @@ def anchor_links(prints: DataFrame, placed: Sequence[str], checked: Sequence[str
     copies = distinct.mapInArrow(_replicate(placed, checked), f"anchor long, {longs}")
     meeting = copies.repartition("anchor").sortWithinPartitions("anchor")
     schema = ", ".join(f"{side}_{name} long" for side in "ab" for name in checked)
-    links = meeting.mapInArrow(_compare(checked, radius), schema).distinct()
-    return links.select(_node(checked, "a_").alias("a"), _node(checked, "b_").alias("b")).where("a <> b")
+    met = meeting.mapInArrow(_compare(checked, radius), schema)
+    links = met.select(_node(checked, "a_").alias("a"), _node(checked, "b_").alias("b"))
+    # A fingerprint has a bounded number of anchors, so these lists are short: each keeps its smallest
+    # partner, and the other partners are linked to that one instead.
+    partners = links.groupBy("b").agg(F.array_sort(F.collect_set("a")).alias("a"))
+    to_least = F.transform(
+        F.concat(F.array("b"), F.slice("a", F.lit(2), F.size("a"))),
+        lambda x: F.struct(F.get("a", F.lit(0)).alias("a"), x.alias("b")),
+    )
+    return partners.select(F.inline(to_least)).distinct().where("a <> b")
 
 
 def _node(checked: Sequence[str], prefix: str = ""):

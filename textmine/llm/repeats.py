@@ -139,6 +139,15 @@ def _join_words(flat: pa.Array, offsets: np.ndarray) -> pa.Array:
     return pc.binary_join(lists, pa.scalar(" ", flat.type)).cast(pa.large_string())
 
 
+def _dealt_anew(table: DataFrame, key: str) -> DataFrame:
+    """The same rows under a key that Spark does not know to be dealt out already.
+
+    A join on the key an aggregation was dealt by would run in that stage, where a hot key cannot be
+    split; with a shuffle of its own on either side it can.
+    """
+    return table.withColumn(key, F.col(key).bitwiseXOR(F.lit(0)))
+
+
 RESULT = "n_words long, n_removed long, kept string, spans array<struct<start: int, length: int>>"
 
 
@@ -215,7 +224,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
         .where(F.col("n") > 1)
         .select("anchor", "first", (F.col("low") == F.col("high")).alias("equal"))
     )
-    seen = seeds.drop("content").join(met.hint("merge"), "anchor")
+    seen = seeds.drop("content").join(_dealt_anew(met, "anchor").hint("merge"), "anchor")
     # What goes for certain as it is, what has to be compared below zero: one list that both joins
     # below read, as they read the same texts, so that texts and lists are each shuffled once.
     signed = F.when(F.col("equal"), F.col("place")).otherwise(-F.col("place"))
@@ -235,7 +244,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
         .where(F.col("n") > 1)
         .select("content", "first")
     )
-    later = windows.join(earliest.hint("merge"), "content").where(F.col("doc") > F.col("first"))
+    later = windows.join(_dealt_anew(earliest, "content").hint("merge"), "content").where(F.col("doc") > F.col("first"))
     singles = later.groupBy(*key).agg(F.collect_list("place").alias("more"))
     empty = F.array().cast("array<long>")
     joined = texts.join(per_doc.hint("merge"), key, "left").join(singles.hint("merge"), key, "left")
