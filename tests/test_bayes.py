@@ -130,3 +130,33 @@ def test_class_names_with_quotes(spark):
     models = op.fit_models(op.fit_statistics(df, min_df=1))
     scored = op.score(df, models, "doc_id").collect()
     assert len(scored) == 20 and all(r["cat"] == r["pred_cat"] for r in scored)
+
+
+def test_guards(corpus, statistics):
+    with pytest.raises(ValueError, match="fold"):
+        op.fit_statistics(corpus.withColumn("fold", F.when(F.col("doc_id") > 3, F.col("fold"))))
+    with pytest.raises(ValueError, match="smoothing"):
+        op.score(corpus, op.fit_models(statistics), "doc_id", smoothings=[0.0])
+    with pytest.raises(ValueError, match="final model"):
+        op.term_weights(op.fit_models(statistics, [0]))
+
+
+def test_one_shuffle_and_no_window_over_the_raw_vocabulary(corpus, monkeypatch):
+    from textmine.operators import bayes
+
+    seen = []
+    monkeypatch.setattr(bayes, "written", lambda df, name: seen.append(df) or df)
+    bayes.fit_statistics(corpus, min_df=2)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan and "Sort" not in plan
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_two_hundred_classes(monkeypatch, spark, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(lookup, "BROADCAST_LIMIT_BYTES", 0)
+    rows = [(k, f"all own{k % 200} own{k % 200}", f"c{k % 200:03d}", -1 if k >= 1200 else k % 3) for k in range(1400)]
+    corpus = spark.createDataFrame(rows, "doc_id long, text string, cat string, fold int")
+    models = op.fit_models(op.fit_statistics(corpus))
+    judged = op.score(corpus, models, "doc_id")
+    assert judged.count() == 200 and judged.where("cat = pred_cat").count() == 200

@@ -52,3 +52,9 @@ def test_random_split_is_complete_and_disjoint(spark):
     training, test = op.random_split(spark.range(500), seed=1)
     left, right = ({r["id"] for r in p.collect()} for p in (training, test))
     assert not left & right and left | right == set(range(500)) and len(left) > len(right)
+
+
+def test_null_keys_raise(spark):
+    df = spark.createDataFrame([(1,), (None,)], "id long")
+    with pytest.raises(Exception, match="null in key column id"):
+        [part.collect() for part in op.hash_split(df, "id")]

@@ -10,7 +10,7 @@ from textmine.checks.oracles import oracles
 from textmine.checks.queries import registered
 
 FOLDER = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"random_split", "svc_confusion", "svc_f1"}
+WITHOUT_SQL = {"svc_confusion", "svc_f1"}
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 

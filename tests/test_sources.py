@@ -12,6 +12,9 @@ TEXTS = [
     "carriage\rreturn",
     "ünï “q” 😀",
     "   ",
+    "",
+    None,
+    "\\N is not null",
 ]
 
 
@@ -23,7 +26,7 @@ def frame(spark):
 def test_csv_splittable(spark, frame, tmp_path):
     sources.write_csv(frame, f"{tmp_path}/c")
     back = sources.read_csv(spark, f"{tmp_path}/c", multi_line=False, name="csv_view")
-    assert sorted(back.collect()) == sorted(frame.collect())
+    assert sorted(back.collect(), key=str) == sorted(frame.collect(), key=str)
     assert spark.table("csv_view").count() == len(TEXTS)
 
 
@@ -31,7 +34,7 @@ def test_csv_multi_line(spark, frame, tmp_path):
     broken = frame.union(spark.createDataFrame([("a\nb\r\nc\rd", "x"), ("\n", "y")], sources.CORPUS))
     sources.write_csv(broken, f"{tmp_path}/c", sep=",")
     back = sources.read_csv(spark, f"{tmp_path}/c", sep=",")
-    assert sorted(back.collect()) == sorted(broken.collect())
+    assert sorted(back.collect(), key=str) == sorted(broken.collect(), key=str)
 
 
 def test_raw_posts_file(spark, tmp_path):
@@ -55,11 +58,10 @@ def test_small_files(spark, tmp_path):
 def test_parquet_and_json(spark, frame, tmp_path):
     sources.write_parquet(frame, f"{tmp_path}/p")
     sources.write_parquet(frame, f"{tmp_path}/p")
-    assert sorted(sources.read_parquet(spark, f"{tmp_path}/p", "pq").collect()) == sorted(frame.collect())
+    rows = sorted(frame.collect(), key=str)
+    assert sorted(sources.read_parquet(spark, f"{tmp_path}/p", "pq").collect(), key=str) == rows
     sources.write_json(frame, f"{tmp_path}/j")
-    assert sorted(sources.read_json(spark, f"{tmp_path}/j", sources.CORPUS).collect()) == sorted(
-        frame.collect()
-    )
+    assert sorted(sources.read_json(spark, f"{tmp_path}/j", sources.CORPUS).collect(), key=str) == rows
 
 
 def test_cache_compute_and_collect(spark, frame):
@@ -84,6 +86,8 @@ def test_copy_to(spark):
 def test_spread_leaves_wide_scans_alone(spark):
     wide = spark.range(0, 100, 1, 64)
     assert sources.spread(wide, "id") is wide
+    assert sources.spread(wide, "id", cores=100) is wide
+    assert sources.spread(wide, "id", cores=200).rdd.getNumPartitions() == 200
     narrow = sources.spread(spark.range(0, 100, 1, 1), "id")
     assert narrow.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
@@ -108,9 +112,9 @@ def test_scratch_dir_must_be_set_on_a_cluster():
 
 
 def test_describe_and_checks(spark, frame):
-    rows = {r["name"]: (r["type"], r["present"]) for r in op.describe(frame).collect()}
-    assert rows == {"text": ("string", 7), "cat": ("string", 7)}
-    assert op.row_count(frame).first()["n"] == 7
+    rows = {r["name"]: (r["type"], r["present"]) for r in op.describe(frame, "cat").collect()}
+    assert rows == {"text": ("string", None), "cat": ("string", len(TEXTS))}
+    assert op.row_count(frame).first()["n"] == len(TEXTS)
     assert op.schema_rows(frame) == [("text", "string"), ("cat", "string")]
     assert [r["cat"] for r in op.preview(frame, 2, "cat").collect()] == ["0", "1"]
 
@@ -121,3 +125,33 @@ def test_row_ids_are_unique_and_stay(spark):
     first = sorted(numbered.collect())
     assert len({r["doc_id"] for r in first}) == 50
     assert sorted(numbered.repartition(3).collect()) == first
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text("Category,Other,Title,Body\nmoney,o,t,b\n", encoding="utf-8")
+    row = sources.read_raw_posts(spark, str(tmp_path / "raw.csv")).first()
+    assert (row["Title"], row["Body"], row["Category"]) == ("t", "b", "money")
+    (tmp_path / "bad.csv").write_text("Category,Title\nmoney,t\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="Body"):
+        sources.read_raw_posts(spark, str(tmp_path / "bad.csv"))
+
+
+@pytest.mark.parametrize("record", ["t,b,money,surplus", "only"])
+def test_malformed_records_raise(spark, tmp_path, record):
+    (tmp_path / "raw.csv").write_text(f"Title,Body,Category\nt,b,c\n{record}\n", encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        sources.read_raw_posts(spark, str(tmp_path / "raw.csv")).collect()
+    kept = sources.read_raw_posts(spark, str(tmp_path / "raw.csv"), mode="DROPMALFORMED").collect()
+    assert [r["Title"] for r in kept] == ["t"]
+
+
+def test_remove_scratch(spark):
+    stored = sources.written(spark.range(3), "gone")
+    assert stored.count() == 3
+    sources.remove_scratch(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(stored.inputFiles()[0]).count()
+
+
+def test_describe_without_counts_reads_nothing(frame):
+    assert [(r["name"], r["present"]) for r in op.describe(frame).collect()] == [("text", None), ("cat", None)]

@@ -95,3 +95,18 @@ def test_top_terms(corpus, corpus_rows):
     expected = sorted(kept, key=lambda t: (-kept[t][1], t))[:5]
     found = op.top_terms(op.document_frequency(corpus), 5).collect()
     assert [r["term"] for r in found] == expected
+
+
+def test_every_term_is_kept_by_default(spark):
+    """More terms than a vectoriser's default would take."""
+    n = 300_000
+    corpus = spark.range(n).selectExpr("id AS doc_id", "concat('term', id) AS text")
+    vocabulary = op.fit_vocabulary(corpus, min_df=1)
+    assert (vocabulary.n_docs, vocabulary.n_terms, vocabulary.left_out) == (n, n, 0)
+    assert op.tfidf(corpus, vocabulary, "doc_id").count() == n
+    labelled = corpus.selectExpr("*", "concat('c', doc_id % 2) AS cat", "cast(doc_id % 3 AS int) AS fold")
+    assert op.fit_statistics(labelled, min_df=1).n_terms == n
+    cut = op.fit_vocabulary(corpus, min_df=1, size=100_000)
+    assert (cut.n_terms, cut.left_out) == (100_000, 200_000)
+    expected = sorted(f"term{i}" for i in range(n))[:100_000]
+    assert cut.table.agg(F.max("term")).first()[0] == expected[-1]

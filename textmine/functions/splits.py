@@ -15,8 +15,13 @@ TEST_FOLD = -1
 
 
 def hash_bucket(*key: str, seed: int | None = None) -> Column:
-    """First 32 bits of the MD5 of the key, as a long."""
-    parts = [F.col(name).cast("string") for name in key]
+    """First 32 bits of the MD5 of the key, as a long. A null in the key raises an error."""
+    parts = [
+        F.coalesce(
+            F.col(name).cast("string"), F.raise_error(F.lit(f"null in key column {name}")).cast("string")
+        )
+        for name in key
+    ]
     if seed is not None:
         parts.insert(0, F.lit(str(seed)))
     digest = F.md5(parts[0] if len(parts) == 1 else F.concat_ws("|", *parts))

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from textmine.functions.splits import TEST_FOLD
 from textmine.functions.tokens import content_words
 from textmine.operators.evaluation import confusion_long, metrics
-from textmine.operators.lookup import broadcastable, lookup_join
-from textmine.operators.terms import MIN_DF, VOCAB_SIZE, idf, term_counts, vocabulary_cut
+from textmine.operators.lookup import broadcastable, lookup_join, salts_for
+from textmine.operators.terms import MIN_DF, idf, term_counts, vocabulary_cut
 from textmine.sources.scratch import written
 from textmine.sources.tables import collect_small
 
@@ -68,63 +68,90 @@ class BayesStatistics(NamedTuple):
         return self.term_bytes + self.n_terms * (64 + 8 * values)
 
 
+# Classes times folds up to which every pair is a column of one aggregation by term.
+WIDE_PAIRS = 40
+
+
+def _cells_by_columns(tokens: DataFrame, pairs: list[tuple[str, int]]) -> DataFrame:
+    """``(term, df, cells)`` with one shuffle: a sum per class and fold."""
+    same = [(F.col("cat") == F.lit(cat)) & (F.col("fold") == F.lit(fold)) for cat, fold in pairs]
+    summed = tokens.groupBy("term").agg(
+        F.count("*").alias("df"),
+        *[F.sum(F.when(is_pair, F.col("tf"))).alias(f"t{k}") for k, is_pair in enumerate(same)],
+    )
+    cells = [
+        F.struct(F.lit(cat).alias("cat"), F.lit(fold).cast("int").alias("fold"), F.col(f"t{k}").alias("tf"))
+        for k, (cat, fold) in enumerate(pairs)
+    ]
+    return summed.select("term", "df", F.filter(F.array(*cells), lambda c: c["tf"].isNotNull()).alias("cells"))
+
+
+def _cells_by_rows(tokens: DataFrame) -> DataFrame:
+    """The same for many pairs: one row per term, class and fold first, then one list per term."""
+    counts = tokens.groupBy("term", "cat", F.col("fold").cast("int").alias("fold")).agg(
+        F.count("*").alias("docs"), F.sum("tf").alias("tf")
+    )
+    return counts.groupBy("term").agg(
+        F.sum("docs").alias("df"), F.array_sort(F.collect_list(F.struct("cat", "fold", "tf"))).alias("cells")
+    )
+
+
 def fit_statistics(
     corpus: DataFrame,
     min_df: float = MIN_DF,
-    vocab_size: int = VOCAB_SIZE,
+    vocab_size: int | None = None,
     stop_words: Sequence[str] | None = None,
 ) -> BayesStatistics:
     """One pass over the text. Vocabulary and IDF see all rows, test rows included.
 
-    Every document adds a row without a term, so the same aggregation counts the documents.
+    Documents per class and fold are counted first, without the text. Every term with ``min_df``
+    documents is kept unless ``vocab_size`` asks for the most frequent ones only.
     """
-    # At most one row per class and fold meets in a window, whatever the term's frequency.
-    same_term = Window.partitionBy("term")
-    terms = (
-        term_counts(corpus, "cat", "fold", stop_words=stop_words, document_rows=True)
-        .groupBy("term", "cat", "fold")
-        .agg(F.count("*").alias("docs"), F.sum("tf").alias("tf"))
-        .withColumn("df", F.sum("docs").over(same_term))
-        .withColumn("cf", F.sum("tf").over(same_term))
-        .withColumn("head", F.row_number().over(same_term.orderBy("cat", "fold")) == 1)
-        .where(F.col("term").isNull() | (F.col("df") >= min_df))
-    )
-    stored = written(terms, "bayes-terms")
-    docs, sums, n_terms, term_bytes = _summary(stored)
+    counted = corpus.groupBy("cat", "fold").agg(F.count("*").alias("n"))
+    docs = {(row["cat"], row["fold"]): row["n"] for row in collect_small(counted, 1_000_000)}
+    if any(cat is None for cat, _ in docs):
+        raise ValueError("every document needs a class")
+    if any(fold is None for _, fold in docs):
+        raise ValueError("every document needs a fold; the test part has fold -1")
     n_docs = sum(docs.values())
-    kept = stored.where(F.col("term").isNotNull())
-    if min_df < 1:
-        kept = kept.where(F.col("df") >= min_df * n_docs)
-        _, sums, n_terms, term_bytes = _summary(kept)
-    if n_terms > vocab_size:
-        kept = kept.where(vocabulary_cut(kept.where("head"), vocab_size))
-        _, sums, n_terms, term_bytes = _summary(kept)
-    # tf * ln((N + 1) / (df + 1)), summed before N was known.
+    tokens = term_counts(corpus, "cat", "fold", stop_words=stop_words)
+    pairs = sorted(docs)
+    by_term = _cells_by_columns(tokens, pairs) if 0 < len(pairs) <= WIDE_PAIRS else _cells_by_rows(tokens)
+    least = min_df if min_df >= 1 else min_df * n_docs
+    cf = F.aggregate("cells", F.lit(0).cast("long"), lambda total, c: total + c["tf"])
+    kept = by_term.where(F.col("df") >= least).select(
+        "term", "df", cf.alias("cf"), F.posexplode("cells").alias("place", "cell")
+    )
+    stored = written(
+        kept.select("term", "cell.cat", "cell.fold", "cell.tf", "df", "cf", (F.col("place") == 0).alias("head")),
+        "bayes-terms",
+    )
+    sums, n_terms, term_bytes = _summary(stored)
+    if vocab_size is not None and n_terms > vocab_size:
+        stored = stored.where(vocabulary_cut(stored.where("head"), vocab_size))
+        sums, n_terms, term_bytes = _summary(stored)
+    # tf * ln((N + 1) / (df + 1)), summed before N is put in.
     weights = {k: math.log(n_docs + 1) * tf - tf_log_df for k, (tf, tf_log_df) in sums.items()}
     return BayesStatistics(
-        kept.select("term", "cat", "fold", "tf", idf(n_docs, F.col("df")).alias("idf")),
+        stored.select("term", "cat", "fold", "tf", idf(n_docs, F.col("df")).alias("idf")),
         docs,
-        weights,
+        {pair: weights.get(pair, 0.0) for pair in docs},
         sorted({cat for cat, _ in docs}),
         n_terms,
         term_bytes,
     )
 
 
-def _summary(stored: DataFrame) -> tuple[dict, dict, int, int]:
-    """Documents, weight sums, number of terms and their bytes: one small aggregation."""
+def _summary(stored: DataFrame) -> tuple[dict, int, int]:
+    """Weight sums, number of terms and their bytes: one small aggregation."""
     grouped = stored.groupBy("cat", "fold").agg(
-        F.sum(F.when(F.col("term").isNull(), F.col("docs")).otherwise(0)).alias("docs"),
         F.sum("tf").alias("tf"),
         F.sum(F.col("tf") * F.log(F.col("df") + 1)).alias("tf_log_df"),
-        F.count_if(F.col("head") & F.col("term").isNotNull()).alias("terms"),
+        F.count_if("head").alias("terms"),
         F.sum(F.when(F.col("head"), F.octet_length("term"))).alias("bytes"),
     )
-    rows = collect_small(grouped)
-    if any(row["cat"] is None for row in rows):
-        raise ValueError("every document needs a class")
+    rows = collect_small(grouped, 1_000_000)
     return (
-        {(row["cat"], row["fold"]): row["docs"] for row in rows},
         {(row["cat"], row["fold"]): (row["tf"], row["tf_log_df"]) for row in rows},
         sum(row["terms"] for row in rows),
         sum(row["bytes"] or 0 for row in rows),
@@ -183,6 +210,8 @@ def _double(value: float) -> str:
 def term_weights(models: BayesModels, smoothing: float = 1.0) -> DataFrame:
     """``(cat, term, weight)``: log weight of every vocabulary term in every class."""
     statistics = models.statistics
+    if TEST_FOLD not in models.holdouts:
+        raise ValueError("the final model is not among the fitted ones: fit with holdout -1")
     rows = [
         F.struct(
             F.lit(c).alias("cat"),
@@ -213,6 +242,8 @@ def score(
     one row before anything is shuffled.
     """
     statistics, holdouts = models.statistics, models.holdouts
+    if any(s <= 0 for s in smoothings):
+        raise ValueError("smoothing must be above 0: a term that a class never saw has no weight otherwise")
     cells = [
         (f"d{g}_{k}", s, k)
         for g, s in enumerate(smoothings)
@@ -231,10 +262,16 @@ def score(
         tokens = F.explode_outer(content_words("text", stop_words)).alias("term")
         rows = held_out.select(*key, "cat", "fold", tokens, F.lit(1).cast("long").alias("tf"))
     else:
-        rows = term_counts(
-            held_out, *key, "cat", "fold", stop_words=stop_words, document_rows=True
-        )
-    found = lookup_join(rows, table, ["fold", "term"], size, spread_by=key, how="left")
+        rows = term_counts(held_out, *key, "cat", "fold", stop_words=stop_words)
+    if broadcastable(size):
+        found = lookup_join(rows, table, ["fold", "term"], size, spread_by=key, how="left")
+    else:
+        # A row per document, added after the join, keeps those without any known term.
+        salts = salts_for(sum(statistics.docs.values()))
+        known = lookup_join(rows, table, ["fold", "term"], size, spread_by=key, salts=salts)
+        names = [*key, "cat", "fold"]
+        blank = held_out.select(*names, *[F.lit(None).cast("double").alias(c) for c in ("tf", "idf", *(d for d, _, _ in cells))])
+        found = known.select(*blank.columns).union(blank.withColumn("tf", F.col("tf").cast("long")))
     summed = found.groupBy(*key, "cat", "fold").agg(
         *[
             F.expr(f"coalesce(sum(tf * {d}), 0D) AS {d}")

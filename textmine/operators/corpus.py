@@ -45,13 +45,19 @@ def schema_rows(df: DataFrame) -> list[tuple[str, str]]:
     return df.dtypes
 
 
-def describe(df: DataFrame) -> DataFrame:
-    """One row per column: name, type and how many values are present, in one pass."""
-    counts = df.agg(*[F.count(F.col(name)).alias(name) for name in df.columns])
-    described = [
+def describe(df: DataFrame, *count: str) -> DataFrame:
+    """One row per column: name, type and, for the columns in ``count``, how many values are present.
+
+    Names and types are metadata: without ``count`` no data is read.
+    """
+    totals = df.agg(*[F.count(F.col(name)).alias(f"_{name}") for name in count]) if count else None
+    rows = [
         F.struct(
-            F.lit(name).alias("name"), F.lit(kind).alias("type"), F.col(name).alias("present")
+            F.lit(name).alias("name"),
+            F.lit(kind).alias("type"),
+            (F.col(f"_{name}") if name in count else F.lit(None).cast("long")).alias("present"),
         )
         for name, kind in df.dtypes
     ]
-    return counts.select(F.inline(F.array(*described)))
+    one = df.sparkSession.range(1) if totals is None else totals
+    return one.select(F.inline(F.array(*rows)))

@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 SALTS = 64
+ROWS_PER_SALT = 1_000_000
 
 
 def broadcastable(table_bytes: int) -> bool:
     return table_bytes <= BROADCAST_LIMIT_BYTES
 
 
+def salts_for(rows: int) -> int:
+    """Salts that keep a key which all of ``rows`` rows share near a million rows per task."""
+    return max(SALTS, -(-rows // ROWS_PER_SALT))
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,

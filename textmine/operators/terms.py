@@ -18,7 +18,7 @@ from textmine.sources.scratch import written
 from textmine.sources.tables import copy_to
 
 MIN_DF = 5
-VOCAB_SIZE = 1 << 18
+FEW_TIES = 10_000
 
 
 def term_counts(
@@ -49,12 +49,28 @@ def top_terms(frequencies: DataFrame, k: int) -> DataFrame:
     return frequencies.orderBy(F.desc("cf"), "term").limit(k)
 
 
+def _nth_term(terms: DataFrame, n: int) -> str:
+    """The ``n``-th term in order, found by narrowing a prefix; only a few terms are ever sorted."""
+    prefix, left = "", terms.count()
+    while left > FEW_TIES:
+        following = F.substring("term", len(prefix) + 1, 1).alias("c")
+        same = terms.where(F.col("term").startswith(prefix))
+        for row in same.groupBy(following).agg(F.count("*").alias("n")).orderBy("c").collect():
+            if n <= row["n"]:
+                break
+            n -= row["n"]
+        if row["c"] == "":  # the prefix itself is a term, and there is only one of it
+            return prefix
+        prefix, left = prefix + row["c"], row["n"]
+    return terms.where(F.col("term").startswith(prefix)).orderBy("term").limit(n).agg(F.max("term")).first()[0]
+
+
 def vocabulary_cut(frequencies: DataFrame, size: int) -> Column:
     """Condition on ``cf`` and ``term`` that holds for the ``size`` most frequent terms.
 
     For a stored table with more than ``size`` terms. The cut comes from the histogram of counts,
     not from ranking all terms in one task: with T tokens there are at most sqrt(2 T) different
-    counts.
+    counts. Among terms with the count at the cut the first in alphabetical order are kept.
     """
     histogram = frequencies.groupBy("cf").agg(F.count("*").alias("terms"))
     falling = Window.orderBy(F.desc("cf")).rowsBetween(Window.unboundedPreceding, 0)
@@ -65,8 +81,7 @@ def vocabulary_cut(frequencies: DataFrame, size: int) -> Column:
         .first()
     )
     room = size - (cut["upto"] - cut["terms"])
-    ties = frequencies.where(F.col("cf") == cut["cf"])
-    last = ties.orderBy("term").limit(room).agg(F.max("term").alias("term")).first()["term"]
+    last = _nth_term(frequencies.where(F.col("cf") == cut["cf"]).select("term"), room)
     return (F.col("cf") > cut["cf"]) | ((F.col("cf") == cut["cf"]) & (F.col("term") <= last))
 
 
@@ -81,12 +96,16 @@ def idf(n_docs: int, df: Column) -> Column:
 
 
 class Vocabulary(NamedTuple):
-    """Kept terms ``(term, df, cf, idf)`` as a stored table, with their number and size."""
+    """Kept terms ``(term, df, cf, idf)`` as a stored table, with their number and size.
+
+    ``left_out`` counts the terms that an explicit size did not keep.
+    """
 
     table: DataFrame
     n_docs: int
     n_terms: int
     term_bytes: int
+    left_out: int = 0
 
     def row_bytes(self, values: int) -> int:
         """Rough size in memory of a lookup table with ``values`` numbers per term."""
@@ -96,22 +115,33 @@ class Vocabulary(NamedTuple):
 def fit_vocabulary(
     corpus: DataFrame,
     min_df: float = MIN_DF,
-    size: int = VOCAB_SIZE,
+    size: int | None = None,
     stop_words: Sequence[str] | None = None,
 ) -> Vocabulary:
-    """Vocabulary and IDF from one pass over the text.
+    """Vocabulary and IDF from one pass over the text; documents are counted in the same pass.
 
-    ``min_df`` below 1 is a share of all documents, otherwise a number of documents.
+    ``min_df`` below 1 is a share of all documents, otherwise a number of documents. All such terms
+    are kept unless ``size`` asks for the most frequent ones only.
     """
-    n_docs = corpus.count()
+    counted = (
+        term_counts(corpus, stop_words=stop_words, document_rows=True)
+        .groupBy("term")
+        .agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    )
+    if min_df >= 1:
+        counted = counted.where(F.col("term").isNull() | (F.col("df") >= min_df))
+    stored = written(counted, "vocabulary")
+    documents = stored.where(F.col("term").isNull()).first()
+    n_docs = documents["df"] if documents else 0
     least = min_df if min_df >= 1 else min_df * n_docs
-    frequencies = document_frequency(corpus, stop_words).where(F.col("df") >= least)
-    stored = written(frequencies.withColumn("idf", idf(n_docs, F.col("df"))), "vocabulary")
-    n_terms, term_bytes = term_totals(stored)
-    if n_terms > size:
-        stored = stored.where(vocabulary_cut(stored, size))
-        n_terms, term_bytes = term_totals(stored)
-    return Vocabulary(stored, n_docs, n_terms, term_bytes)
+    kept = stored.where(F.col("term").isNotNull() & (F.col("df") >= least))
+    kept = kept.withColumn("idf", idf(n_docs, F.col("df")))
+    n_terms, term_bytes = term_totals(kept)
+    if size is not None and n_terms > size:
+        left_out = n_terms - size
+        kept = kept.where(vocabulary_cut(kept, size))
+        return Vocabulary(kept, n_docs, *term_totals(kept), left_out)
+    return Vocabulary(kept, n_docs, n_terms, term_bytes)
 
 
 def idf_weights(vocabulary: Vocabulary) -> DataFrame:
@@ -147,10 +177,12 @@ def tfidf(
 
 def word_frequency(corpus: DataFrame, words: Sequence[str]) -> DataFrame:
     """How often each of a local list of words occurs among the raw tokens, 0 included."""
+    words = list(dict.fromkeys(words))
     listed = copy_to(corpus.sparkSession, [(word,) for word in words], "word string")
+    size = sum(64 + len(word.encode()) for word in words)
+    tokens = corpus.select(F.explode(tokenize("text")).alias("word"))
     found = (
-        corpus.select(F.explode(tokenize("text")).alias("word"))
-        .join(F.broadcast(listed), "word", "left_semi")
+        lookup_join(tokens, listed, ["word"], size, spread_by=["word"], how="left_semi")
         .groupBy("word")
         .agg(F.count("*").alias("n"))
     )

@@ -100,17 +100,22 @@ def fit_linear_svc(
     max_iter: int = 100,
     reg_param: float = 0.0,
     aggregation_depth: int = 2,
-    rows_per_task: int = 2000,
+    partitions: int | None = None,
+    key: str = "doc_id",
 ) -> LinearSVCModel:
     """Linear support vector classifier for a 0/1 ``label``; give it a stored or cached table.
 
-    Every step of the optimiser is a job over ``train``, many per iteration. A table with fewer
-    than ``rows_per_task`` rows per partition is therefore merged into fewer partitions first;
-    a bigger one keeps its partitions. Deepen the aggregation for thousands of partitions.
+    Every step of the optimiser is a job over ``train``, many per iteration: deepen the aggregation
+    for thousands of partitions. Sums of floating numbers depend on the order of rows, and without a
+    regularisation separable classes have no unique optimum. ``partitions`` therefore lays the rows
+    out by ``key``, in an order that nothing but the rows decides, and keeps them in memory while
+    fitting; without it the table's own layout is used as it is.
     """
-    tasks = max(1, train.count() // rows_per_task)
-    if tasks < train.rdd.getNumPartitions():
-        train = train.coalesce(tasks)
-    return LinearSVC(
-        maxIter=max_iter, regParam=reg_param, aggregationDepth=aggregation_depth
-    ).fit(train)
+    estimator = LinearSVC(maxIter=max_iter, regParam=reg_param, aggregationDepth=aggregation_depth)
+    if partitions is None:
+        return estimator.fit(train)
+    laid_out = train.repartition(partitions, key).sortWithinPartitions(key).select("features", "label").persist()
+    try:
+        return estimator.fit(laid_out)
+    finally:
+        laid_out.unpersist()

@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmine.functions.tokens import default_stop_words
-from textmine.operators.terms import MIN_DF, VOCAB_SIZE, Vocabulary, fit_vocabulary
+from textmine.operators.terms import MIN_DF, Vocabulary, fit_vocabulary
 
-# A vocabulary goes to the driver and into every task; the long-table operators have no such limit.
+# The vectoriser's own default: a vocabulary goes to the driver and into every task. The long-table
+# operators keep every term.
+VOCAB_SIZE = 1 << 18
 VOCABULARY_LIMIT_BYTES = 256 * 1024 * 1024
 
 
@@ -104,6 +106,8 @@ def fit_features(
 
     Document frequency gives both vocabulary and IDF, and the set of kept terms does not depend on
     partitioning. The default fits on the whole corpus; ``fit_on`` restricts it, say to training rows.
+    Vectors have at most ``vocab_size`` entries; ``fit_vocabulary(...).left_out`` tells how many terms
+    that leaves out.
     """
     source = corpus if fit_on is None else fit_on
     return feature_model(fit_vocabulary(source, min_df, vocab_size, stop_words), stop_words)

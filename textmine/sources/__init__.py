@@ -7,12 +7,13 @@ from textmine.sources.files import (
     read_parquet,
     read_raw_posts,
     spread,
+    writable_features,
     write_csv,
     write_json,
     write_parquet,
 )
 from textmine.sources.models import load_model, load_pipeline, save_model
-from textmine.sources.scratch import scratch_dir, scratch_path, with_row_id, written
+from textmine.sources.scratch import remove_scratch, scratch_dir, scratch_path, with_row_id, written
 from textmine.sources.tables import (
     cache_table,
     collect_small,
@@ -36,11 +37,13 @@ __all__ = [
     "read_parquet",
     "read_raw_posts",
     "save_model",
+    "remove_scratch",
     "scratch_dir",
     "scratch_path",
     "spread",
     "uncache_table",
     "with_row_id",
+    "writable_features",
     "write_csv",
     "write_json",
     "write_parquet",

@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 RAW_POSTS = "Title string, Body string, Category string"
 CORPUS = "text string, cat string"
+# What stands for null in the library's own files; an empty field stays an empty text.
+NULL_MARK = "\\N"
 
 
-def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Hash-spread a scan that has fewer splits than the session has cores.
+def spread(df: DataFrame, *key: str, cores: int | None = None) -> DataFrame:
+    """Hash-spread a scan that has far fewer splits than the session has cores.
 
-    A table in many files passes through unchanged; one small file would otherwise keep every
-    later step on a single core. Hashing by a key keeps the layout the same on a retry.
+    One small file would otherwise keep every later step on a single core. A scan with at least half
+    as many splits as ``cores`` is left alone: moving whole texts to win less than that costs more.
+    Hashing by a key keeps the layout the same on a retry.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    cores = cores or df.sparkSession.sparkContext.defaultParallelism
+    if 2 * df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *key)
 
@@ -27,6 +31,12 @@ def _registered(df: DataFrame, name: str | None) -> DataFrame:
     return df
 
 
+def _header(spark: SparkSession, path: str, sep: str, multi_line: bool) -> list[str]:
+    """Column names of the first record."""
+    options = {"sep": sep, "quote": '"', "escape": '"', "encoding": "UTF-8", "multiLine": multi_line, "header": True}
+    return spark.read.options(**options).csv(path).columns
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -34,28 +44,48 @@ def read_csv(
     sep: str = ";",
     multi_line: bool = True,
     name: str | None = None,
+    mode: str = "FAILFAST",
+    null_mark: str | None = NULL_MARK,
 ) -> DataFrame:
-    """Delimited text with a header, by explicit schema; doubled quotes stand for a quote.
+    """Delimited text with a header; the columns of ``schema`` are found by their names there.
+
+    Doubled quotes stand for a quote. Columns may come in any order and others may stand between
+    them. A missing column raises, and so does a record with too few or too many fields, unless
+    ``mode`` is Spark's ``PERMISSIVE`` or ``DROPMALFORMED``. A field that is ``null_mark`` is null;
+    without a mark empty fields are.
 
     ``multi_line`` reads fields with line breaks, one task per file. Cleaned text holds no ``\\n``,
     so ``multi_line=False`` splits big files among tasks; a lone ``\\r`` stays inside its field.
     """
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    found = _header(spark, path, sep, multi_line)
+    missing = [field.name for field in wanted if field.name not in found]
+    if missing:
+        raise ValueError(f"no column {missing} in {path}; its header is {found}")
+    types = {field.name: field.dataType for field in wanted}
+    file_schema = StructType([StructField(column, types.get(column, StringType())) for column in found])
     reader = (
-        spark.read.schema(schema)
+        spark.read.schema(file_schema)
         .option("header", True)
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .option("multiLine", multi_line)
+        .option("mode", mode)
+        # A malformed record shows only if all its fields are parsed.
+        .option("columnPruning", False)
     )
+    if null_mark is not None:
+        reader = reader.option("nullValue", null_mark).option("emptyValue", "")
     if not multi_line:
         reader = reader.option("lineSep", "\n")
-    return _registered(reader.csv(path), name)
+    return _registered(reader.csv(path).select(*wanted.names), name)
 
 
-def read_raw_posts(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
-    return read_csv(spark, path, schema=RAW_POSTS, sep=",", multi_line=True, name=name)
+def read_raw_posts(spark: SparkSession, path: str, name: str | None = None, mode: str = "FAILFAST") -> DataFrame:
+    """Raw posts by column name: ``Title``, ``Body`` and ``Category`` of whatever header there is."""
+    return read_csv(spark, path, schema=RAW_POSTS, sep=",", multi_line=True, name=name, mode=mode, null_mark=None)
 
 
 def all_strings(df: DataFrame) -> StructType:
@@ -70,7 +100,7 @@ def write_csv(
     mode: str = "overwrite",
     max_records_per_file: int = 1_000_000,
 ) -> None:
-    """Header, every value quoted. Bounded files keep a multi-line read parallel."""
+    """Header, every value quoted, null as ``NULL_MARK``. Bounded files keep a multi-line read parallel."""
     (
         df.write.mode(mode)
         .option("header", True)
@@ -79,6 +109,8 @@ def write_csv(
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", "UTF-8")
+        .option("nullValue", NULL_MARK)
+        .option("emptyValue", "")
         .option("maxRecordsPerFile", max_records_per_file)
         # The defaults trim values on writing.
         .option("ignoreLeadingWhiteSpace", False)
@@ -107,3 +139,11 @@ def read_json(
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines. Give vector columns as arrays or long rows: JSON has no vector type."""
     df.write.mode(mode).json(path)
+
+
+def writable_features(df: DataFrame, *vectors: str) -> DataFrame:
+    """A feature table for text formats: vectors as JSON of size, indices and values, arrays as JSON."""
+    for name in vectors:
+        df = df.withColumn(name, F.to_json(F.unwrap_udt(name)))
+    arrays = [field.name for field in df.schema if isinstance(field.dataType, ArrayType)]
+    return df.withColumns({name: F.to_json(name) for name in arrays})

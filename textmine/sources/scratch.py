@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,7 +22,9 @@ def scratch_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_folders:
-        _local_folders[app] = "file://" + tempfile.mkdtemp(prefix="textmine-")
+        folder = tempfile.mkdtemp(prefix="textmine-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_folders[app] = f"file://{folder}"
     return _local_folders[app]
 
 
@@ -30,6 +34,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/textmine/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; nothing that reads them works afterwards."""
+    app = spark.conf.get("spark.app.id", "local")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/textmine/{app}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and go on from the stored table, so no later job repeats its lineage."""
     path = scratch_path(df.sparkSession, name)
