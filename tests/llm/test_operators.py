@@ -211,6 +211,42 @@ def test_remove_near_duplicates(hard_docs, hard_rows, no_docs):
     assert anchors.remove_near_duplicates(no_docs).count() == 0
 
 
+def _edited(rng, k, block):
+    """Two texts of distinct words and their Jaccard similarity, a little above or below 0.8."""
+    n = rng.randint(60, 200)
+    w = [f"w{k}x{i}" for i in range(n)]
+    other = list(w)
+    if block == "replaced":
+        at, m = rng.randint(4, n // 2), rng.randint(max(1, n // 9 - 8), n // 9)
+        other[at : at + m] = [f"y{k}x{i}" for i in range(m)]
+    elif block == "added":
+        other += [f"y{k}x{i}" for i in range(rng.randint(n // 5, n // 4 + 2))]
+    else:
+        for at in rng.sample(range(n), max(1, n // 45)):
+            other[at] = f"y{k}x{at}"
+    a, b = " ".join(w), " ".join(other)
+    return a, b, brute.jaccard(a, b)
+
+
+def test_pairs_at_the_threshold(spark):
+    """Edits of every shape around 0.8: found from there on, and never below."""
+    rng = random.Random(12)
+    pairs = [_edited(rng, k, ("replaced", "added", "scattered")[k % 3]) for k in range(900)]
+    rows = [(2 * k + side, pair[side]) for k, pair in enumerate(pairs) for side in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    left = {r.doc_id for r in anchors.remove_near_duplicates(docs).collect()}
+    assert all(2 * k in left for k in range(900))
+    at = [k for k, (_, _, x) in enumerate(pairs) if 0.8 <= x < 0.85]
+    assert len(at) > 100 and sum(0.72 <= x < 0.8 for _, _, x in pairs) > 100
+    assert {k for k in range(900) if 2 * k + 1 not in left} == {k for k, (_, _, x) in enumerate(pairs) if x >= 0.8}
+
+
+def test_bands_miss_next_to_nothing():
+    for similarity in (0.5, 0.8, 0.9, 1.0):
+        shared = similarity**anchors.BAND_ROWS
+        assert (1 - shared) ** anchors.band_count(similarity) <= anchors.MISSED
+
+
 # 5 WARC ----------------------------------------------------------------------------------------------
 
 

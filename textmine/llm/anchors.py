@@ -7,13 +7,13 @@ nearest to the one is within 1 + 1 of the other. Each half is therefore copied t
 distance two, at most sixteen, and fingerprints are compared where they share an anchor. There are 2^26
 anchors per half, so an anchor holds few fingerprints unless they are alike.
 
-Near copies of texts use the same anchors on several fingerprints: see ``near_duplicates``.
+Near copies of texts meet by bands of minimum hashes and are compared exactly: see ``near_duplicates``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from math import pi
+from math import ceil, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -23,18 +23,18 @@ from pyspark.sql import functions as F
 
 from textmine.llm.common import SPACES, ascii_lower, text_hash, with_results, words
 from textmine.llm.simhash import fingerprint_votes, hex64
-from textmine.llm.wordhash import MIX, hash_words, scramble, shingle_hashes, split_batch
+from textmine.llm.wordhash import MIX, hash_words, scramble, shingle_hashes, slices, split_batch
 from textmine.sources.scratch import written
 
 RADIUS = 3
 TERM_WORDS = 3
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-CANDIDATE_WORDS = 2
-CANDIDATE_PRINTS = 3
-CHECK_PRINTS = 2
-# Standard deviations of the estimate below the threshold that still count as similar.
-SLACK = 0.5
+# Minimum hashes per band, and the share of pairs at the threshold that may have no band in common.
+BAND_ROWS = 6
+MISSED = 1e-4
+# Runs in one part of a candidate group; a task holds two parts.
+PART_RUNS = 1_000_000
 SMALL_GROUP = 8
 
 # Bit masks of the five parity checks: check c covers the positions whose number has bit c.
@@ -182,9 +182,15 @@ def anchor_links(prints: DataFrame, placed: Sequence[str], checked: Sequence[str
     meeting = copies.repartition("anchor").sortWithinPartitions("anchor")
     schema = ", ".join(f"{side}_{name} long" for side in "ab" for name in checked)
     met = meeting.mapInArrow(_compare(checked, radius), schema)
-    links = met.select(_node(checked, "a_").alias("a"), _node(checked, "b_").alias("b"))
-    # A fingerprint has a bounded number of anchors, so these lists are short: each keeps its smallest
-    # partner, and the other partners are linked to that one instead.
+    return _thinned(met.select(_node(checked, "a_").alias("a"), _node(checked, "b_").alias("b")))
+
+
+def _thinned(links: DataFrame) -> DataFrame:
+    """The same groups by fewer links: each node keeps its smallest partner.
+
+    The other partners are linked to that one instead. A node has a bounded number of anchors, bands or
+    parts, so the lists are short.
+    """
     partners = links.groupBy("b").agg(F.array_sort(F.collect_set("a")).alias("a"))
     to_least = F.transform(
         F.concat(F.array("b"), F.slice("a", F.lit(2), F.size("a"))),
@@ -260,103 +266,236 @@ def linked_documents(
 
 # Near copies of texts ------------------------------------------------------------------------------
 
-_SPREAD = np.array([sum((b >> i & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
-
 
-def _majority_bits(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Majority of each of 64 bits per text, as one unsigned number each.
+def band_count(similarity: float, rows: int = BAND_ROWS, missed: float = MISSED) -> int:
+    """Bands after which two sets with this Jaccard similarity share none with probability ``missed``.
 
-    A byte of a hash is spread over eight one-byte counters, which are added up in blocks of at most
-    255 and only then widened.
+    A minimum hash is shared with the probability of the similarity, whatever the shape of the edit.
     """
-    counts = np.diff(offsets)
-    pieces = np.maximum(-(-counts // 255), 1)
-    first = np.concatenate([[0], np.cumsum(pieces)])
-    owner = np.repeat(np.arange(len(counts)), pieces)
-    starts = offsets[:-1][owner] + 255 * (np.arange(first[-1]) - first[:-1][owner])
-    result = np.zeros(len(counts), np.uint64)
-    filled = np.flatnonzero(counts[owner] > 0)
-    if not len(filled):
-        return result
-    texts = np.flatnonzero(counts > 0)
-    groups = np.searchsorted(owner[filled], texts)
-    for byte in range(8):
-        spread = _SPREAD[((hashes >> np.uint64(8 * byte)) & np.uint64(255)).astype(np.int64)]
-        lanes = np.add.reduceat(spread, starts[filled])
-        votes = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int64), groups, axis=0)
-        bits = votes * 2 > counts[texts][:, None]
-        value = (bits.astype(np.uint64) << np.arange(8, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-        result[texts] |= value << np.uint64(8 * byte)
-    return result
-
-
-def _prints(size: int, count: int, hashes: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    runs, starts = shingle_hashes(hashes, offsets, size)
-    return [_majority_bits(scramble(runs + np.uint64((i + 1) * int(MIX) % 2**64)), starts) for i in range(count)]
-
-
-def _text_prints(candidate_words: int, shingle_words: int):
+    shared = similarity**rows
+    return 1 if shared >= 1 else ceil(log(missed) / log1p(-shared))
+
+
+def _run_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed runs of ``size`` words of each text, ascending, and their offsets."""
+    flat, offsets = split_batch(pc.ascii_lower(texts))
+    runs, starts = shingle_hashes(hash_words(flat), offsets, size)
+    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    runs = runs[np.lexsort((runs, owner))]
+    new = np.ones(len(runs), bool)
+    new[1:] = (runs[1:] != runs[:-1]) | (owner[1:] != owner[:-1])
+    return runs[new], np.concatenate([[0], np.cumsum(new)])[starts]
+
+
+def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    total = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(values, dtype=np.uint64)])
+    return total[starts[1:]] - total[starts[:-1]]
+
+
+def _bands(runs: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
+    """One key per band and set: the least of its runs under each of the band's hash functions."""
+    low = runs.astype(np.uint32)
+    numbers = scramble(np.arange(1, count * BAND_ROWS + 1, dtype=np.uint64) * MIX)
+    factors, shifts = numbers.astype(np.uint32) | np.uint32(1), (numbers >> np.uint64(32)).astype(np.uint32)
+    keys = np.empty((len(starts) - 1, count), np.uint64)
+    for band in range(count):
+        key = np.full(len(keys), band, np.uint64)
+        for k in range(band * BAND_ROWS, (band + 1) * BAND_ROWS):
+            key = scramble(key * MIX + np.minimum.reduceat(low * factors[k] + shifts[k], starts[:-1]))
+        keys[:, band] = key
+    return keys
+
+
+def _text_bands(size: int, count: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.cumsum(np.maximum(batch.column(2).to_numpy(), 1))
-            # A few megabytes of text at a time, however long single texts are.
-            cuts = np.flatnonzero(np.diff(sizes // 4_000_000, prepend=0)).tolist()
-            for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
-                if start == end:
-                    continue
-                part = batch.slice(start, end - start)
-                flat, offsets = split_batch(pc.ascii_lower(part.column(3)))
-                hashes = hash_words(flat)
-                found = _prints(candidate_words, CANDIDATE_PRINTS, hashes, offsets)
-                found += _prints(shingle_words, CHECK_PRINTS, hashes, offsets)
-                columns = [part.column(0), part.column(1), *[pa.array(f.view(np.int64)) for f in found]]
-                yield pa.RecordBatch.from_arrays(columns, ["_id", "_hash", *PLACED, *CHECKED])
+            for part in slices(batch, 2):
+                runs, starts = _run_sets(part.column(2), size)
+                sums = [_sums(scramble(runs + np.uint64(i * int(MIX) % 2**64)), starts) for i in (1, 2)]
+                sizes = np.diff(starts)
+                full = np.flatnonzero(sizes)
+                keys = _bands(runs, np.append(starts[full], starts[-1]), count) if len(full) else np.empty(0, np.uint64)
+                ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, count, 0))]).astype(np.int32)
+                bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))
+                numbers = [pa.array(x.view(np.int64)) for x in (*sums, sizes)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), *numbers, bands], ["_id", "_hash", *NODE, "runs", "bands"]
+                )
 
     return task
 
 
-PLACED = [f"c{i}" for i in range(CANDIDATE_PRINTS)]
-CHECKED = [f"v{i}" for i in range(CHECK_PRINTS)]
+NODE = ["s0", "s1"]
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of the first node of each band to the others, from rows in the order of their bands."""
+    last = root = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        band, node = (column.to_numpy() for column in batch.columns)
+        begins = np.append(last is None or band[0] != last, band[1:] != band[:-1])
+        at = np.maximum.accumulate(np.where(begins, np.arange(len(band)), -1))
+        roots = np.where(at >= 0, node[at], node[0] if root is None else root)
+        last, root = band[-1], roots[-1]
+        pairs = np.unique(np.stack([roots, node], axis=1)[roots != node], axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
 
-def similarity_radius(similarity: float, bits: int, slack: float = SLACK) -> int:
-    """Differing bits up to which two fingerprints count as similar.
+def _alike(runs: np.ndarray, starts: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links, as row pairs, of the groups of sets whose Jaccard similarity reaches the threshold.
 
-    Sets with Jaccard similarity J have cosine 2J / (1 + J); each bit differs with probability
-    angle / pi. ``slack`` standard deviations are granted so that pairs at the threshold are found.
+    With runs ordered by rarity, two such sets share one of the first ``n - ceil(similarity * n) + 1``
+    runs of both. Only sets that do are compared, run by run, so nothing is missed.
     """
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / pi)
-    return int(bits * share + slack * (bits * share * (1 - share)) ** 0.5)
+    sizes = np.diff(starts)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, code, times = np.unique(runs, return_inverse=True, return_counts=True)
+    rank = np.empty(len(times), np.int64)
+    rank[np.argsort(times, kind="stable")] = np.arange(len(times))
+    code = rank[code.reshape(-1)]
+    code = code[np.lexsort((code, owner))]
+    needed = np.ceil(similarity * sizes - 1e-9).astype(np.int64)
+    heads = np.where(sizes > 0, sizes - needed + 1, 0)
+    at = _ranges(starts[:-1], heads)
+    order = np.argsort(code[at], kind="stable")
+    listed, holder = code[at][order], owner[at][order]
+    first = np.searchsorted(listed, np.arange(len(times) + 1))
+    open_, marked = np.ones(len(sizes), bool), np.zeros(len(times), bool)
+    left = indexed = len(sizes)
+    roots, members = [], []
+    for root in range(len(sizes)):
+        if not open_[root]:
+            continue
+        open_[root], queue = False, [root]
+        left -= 1
+        while queue and left:
+            x = queue.pop()
+            # Sets that already have a group leave the lists.
+            if 2 * left < indexed:
+                stay = open_[holder]
+                listed, holder, indexed = listed[stay], holder[stay], left
+                first = np.searchsorted(listed, np.arange(len(times) + 1))
+            head = code[starts[x] : starts[x] + heads[x]]
+            near = holder[_ranges(first[head], first[head + 1] - first[head])]
+            near = np.unique(near[open_[near]])
+            near = near[np.minimum(sizes[near], sizes[x]) >= similarity * np.maximum(sizes[near], sizes[x]) - 1e-9]
+            if not len(near):
+                continue
+            own = code[starts[x] : starts[x + 1]]
+            marked[own] = True
+            hits = marked[code[_ranges(starts[near], sizes[near])]].astype(np.int64)
+            common = np.add.reduceat(hits, np.cumsum(sizes[near]) - sizes[near])
+            marked[own] = False
+            found = near[common >= similarity * (sizes[near] + sizes[x] - common) - 1e-9]
+            open_[found] = False
+            left -= len(found)
+            queue.extend(found)
+            roots.append(np.full(len(found), root))
+            members.append(found)
+    empty = np.empty(0, np.int64)
+    return np.concatenate([empty, *roots]), np.concatenate([empty, *members])
+
+
+def _verify(size: int, similarity: float):
+    names = [f"{side}_{name}" for side in "ab" for name in NODE]
+
+    def judged(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        nodes = np.stack([rows.column(name).to_numpy() for name in NODE], axis=1)
+        runs, starts = _run_sets(rows.column("text").combine_chunks(), size)
+        links = _alike(runs, starts, similarity)
+        return pa.RecordBatch.from_arrays([pa.array(nodes[rows_, i]) for rows_ in links for i in range(2)], names)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size_held, last = [], 0, None
+        for batch in batches:
+            key = np.stack([batch.column(i).to_numpy() for i in range(5)], axis=1)
+            # Rows that repeat id and text come as one node more than once.
+            before = np.concatenate([key[:1] if last is None else last[None], key[:-1]])
+            new = (key != before).any(axis=1)
+            new[:1] |= last is None
+            if not new.any():
+                continue
+            batch, key = batch.filter(pa.array(new)), key[new]
+            edges = np.flatnonzero((key[1:, :3] != key[:-1, :3]).any(axis=1)) + 1
+            for start, end in zip([0, *edges], [*edges, len(key)]):
+                # Whole blocks at a time, as many as make a few megabytes.
+                if size_held > 4_000_000 and (last[:3] != key[start, :3]).any():
+                    yield judged(held)
+                    held, size_held = [], 0
+                held.append(batch.slice(start, end - start))
+                size_held += pc.sum(pc.binary_length(held[-1].column("text"))).as_py()
+                last = key[end - 1]
+        if held:
+            yield judged(held)
+
+    return task
+
+
+def _similar_links(stored: DataFrame, rows: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Links ``(a, b)`` between nodes of ``stored`` whose sets of runs are similar.
+
+    Sets that share a band are candidates; the texts of a connected group of candidates meet and are
+    compared exactly. A group with many runs is cut into parts, and every two parts meet in a task.
+    """
+    nodes = stored.groupBy("s0").agg(F.first("bands").alias("bands"))
+    placed = nodes.select(F.explode("bands").alias("band"), "s0")
+    meeting = placed.repartition("band").sortWithinPartitions("band", "s0")
+    groups = components(_thinned(meeting.mapInArrow(_meet, "a long, b long"))).toDF("s0", "root")
+    one = stored.groupBy(*NODE).agg(F.first("runs").alias("runs"), F.min(F.struct("_id", "_hash")).alias("row"))
+    members = written(one.join(groups, "s0"), "candidates")
+    parts = members.groupBy("root").agg(F.ceil(F.sum("runs") / PART_RUNS).alias("parts"))
+    part = F.pmod(F.xxhash64(*NODE), F.col("parts"))
+    blocks = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("parts") - 1),
+        lambda q: F.struct(F.least(q, part).alias("p"), F.greatest(q, part).alias("q")),
+    )
+    chosen = members.join(parts, "root").select(
+        "root", *NODE, blocks.alias("blocks"), F.col("row._id").alias("_i"), F.col("row._hash").alias("_h")
+    )
+    texts = rows.select("_id", "_hash", "text")
+    met = texts.join(chosen, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")))
+    dealt = met.select("root", F.explode("blocks").alias("block"), *NODE, "text").select(
+        "root", "block.p", "block.q", *NODE, "text"
+    )
+    placed = dealt.repartition("root", "p", "q").sortWithinPartitions("root", "p", "q", *NODE)
+    schema = ", ".join(f"{side}_{name} long" for side in "ab" for name in NODE)
+    links = placed.mapInArrow(_verify(size, similarity), schema)
+    return _thinned(links.select(_node(NODE, "a_").alias("a"), _node(NODE, "b_").alias("b")))
 
 
 def near_duplicates(
     docs: DataFrame,
     similarity: float = SIMILARITY,
     shingle_words: int = SHINGLE_WORDS,
-    candidate_words: int = CANDIDATE_WORDS,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """``(_id, _hash, keeper)`` per document: whether it is the one of its group that stays.
 
-    Documents are alike if 128 fingerprint bits over runs of five words agree as those of texts with at
-    least that Jaccard similarity do. A light edit changes five of these runs, so anchors are found on
-    192 bits over pairs of words, which an edit moves less: six halves with their anchors each. Groups
-    are connected; the smallest id stays, null ids after all others, equal ids by text hash. Equal
-    texts always share a group, texts without words make one group.
+    Documents are alike if their sets of hashed runs of five words have at least that Jaccard
+    similarity. Candidates share a band of minimum hashes, which a pair at the threshold misses with
+    probability ``MISSED``, one above it less; every candidate is compared exactly. Groups are
+    connected; the smallest id stays, null ids after all others, equal ids by text hash. Texts with
+    equal sets always share a group, texts without words make one group.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(
         F.col(doc_id).alias("_id"),
         text_hash(F.col(text)).alias("_hash"),
-        F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    longs = ", ".join(f"{name} long" for name in [*PLACED, *CHECKED])
-    prints = rows.mapInArrow(_text_prints(candidate_words, shingle_words), f"_id {kind}, _hash long, {longs}")
-    stored = written(prints, "text-prints").withColumn("node", _node(CHECKED))
-    radius = similarity_radius(similarity, 64 * CHECK_PRINTS)
-    roots = components(anchor_links(stored, PLACED, CHECKED, radius))
+    schema = f"_id {kind}, _hash long, s0 long, s1 long, runs long, bands array<long>"
+    prints = rows.mapInArrow(_text_bands(shingle_words, band_count(similarity)), schema)
+    stored = written(prints, "text-bands").withColumn("node", _node(NODE))
+    roots = components(_similar_links(stored, rows, similarity, shingle_words))
     ranked = stored.select(
         "node", "_id", "_hash", F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_hash")).alias("rank")
     )
