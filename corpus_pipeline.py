@@ -23,12 +23,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that stand in more than a tenth of their source's documents.
+    """Texts without the lines that stand in more than a tenth of their source's distinct texts.
 
-    Every document stays, and its ``n_chars`` follows its text.
+    Copies of a document count once, so a large group of copies is not boilerplate to itself. Every
+    document stays, and its ``n_chars`` follows its text.
     """
     split = lines.split_lines(F.col("text"))
-    cut = lines.drop_boilerplate(docs, F.col("source"), split, "doc_id")
+    cut = lines.drop_boilerplate(docs, F.col("source"), split, "doc_id", distinct=True)
     shorter = F.size("kept") < F.size("lines")
     text = F.when(shorter, F.array_join("kept", "\n")).otherwise(F.col("text"))
     length = F.when(shorter, F.length(F.array_join("kept", "\n")).cast("long")).otherwise(F.col("n_chars"))

@@ -105,3 +105,16 @@ def test_pipeline(spark):
             assert abs(copies.get(r.doc_id, 0) - rate) < 1
     assert mixing.repeated(mixing.mixed(clean)).count() == mixed.count()
     assert corpus_pipeline.run(spark, FOLDER).count() == mixed.count()
+
+
+def test_copies_are_not_boilerplate(spark):
+    """Groups of copies keep their lines, and then one row each; a line of different texts still goes."""
+    rows = [(k, f"first of {k % 3}\nsecond of {k % 3}\nthird of {k % 3}", "a", 0) for k in range(30)]
+    rows += [(100 + k, f"menu\nown line {k}\nmore {k} of it", "a", 0) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(4)
+    stages = dict(corpus_pipeline.STAGES)
+    lined = stages["line dedup"](spark, docs, FOLDER)
+    found = {r.doc_id: r.text for r in lined.collect()}
+    assert found == {k: t.replace("menu\n", "") for k, t, _, _ in rows}
+    left = {r.doc_id for r in stages["near duplicates"](spark, lined, FOLDER).collect()}
+    assert left == {0, 1, 2, *range(100, 120)}

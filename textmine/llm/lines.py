@@ -44,16 +44,21 @@ def boilerplate(
     lines: Column,
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
+    distinct: bool = False,
 ) -> DataFrame:
     """Stored ``(host, drop)``: per host the digests of lines above ``ratio`` of its pages.
 
     Blank lines never count. A line needs ``min_pages`` pages, so that hosts with few pages keep
-    theirs. Null is a host of its own.
+    theirs. Null is a host of its own. With ``distinct``, pages of a host with the same lines in the
+    same order count as one.
     """
     rows = pages.select(
         host.alias("host"),
         F.array_distinct(F.transform(F.filter(lines, _counted), lambda x: _digest(x))).alias("lines"),
+        *([_digest(lines).alias("page")] if distinct else []),
     )
+    if distinct:
+        rows = rows.groupBy("host", "page").agg(F.first("lines").alias("lines"))
     # A null entry per page counts the pages in the same aggregation.
     page = F.array(F.struct(F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b")))
     counts = (
@@ -78,13 +83,15 @@ def drop_boilerplate(
     key: str,
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
+    distinct: bool = False,
 ) -> DataFrame:
     """All columns of ``pages`` and the arrays ``lines`` and ``kept`` (renamed on a clash).
 
-    Blank lines stay, null texts have no lines, repeated rows count as pages of their own, an empty
-    table gives an empty result. Every row keeps its place even when all its lines go.
+    Blank lines stay, null texts have no lines, repeated rows count as pages of their own unless
+    ``distinct`` is set, an empty table gives an empty result. Every row keeps its place even when all
+    its lines go.
     """
-    lists = boilerplate(pages, host, lines, ratio, min_pages)
+    lists = boilerplate(pages, host, lines, ratio, min_pages, distinct)
     size = lists.agg(F.sum(128 + 48 * F.size("drop"))).first()[0] or 0
     all_lines, kept = fresh(pages, "lines"), fresh(pages, "kept")
     rows = pages.withColumns({all_lines: lines, "_host": host})
