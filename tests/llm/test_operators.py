@@ -247,6 +247,38 @@ def test_bands_miss_next_to_nothing():
         assert (1 - shared) ** anchors.band_count(similarity) <= anchors.MISSED
 
 
+def test_repeated_lines_do_not_make_near_duplicates(spark):
+    """Texts that share a repeated line and little else stay, and so do those of 0.7 to 0.79 in a chain."""
+    rng = random.Random(13)
+    line = " ".join(f"menu{i}" for i in range(8))
+    rows = [(k, f"{sentence_of(rng, 40)} " + f"{line} " * 30) for k in range(40)]
+    chain = [f"c{i}" for i in range(400)]
+    rows += [(100 + k, " ".join(chain[13 * k : 13 * k + 100])) for k in range(20)]
+    likeness = [brute.jaccard(a, b) for (_, a), (_, b) in zip(rows[40:], rows[41:])]
+    assert all(0.7 < x < 0.8 for x in likeness)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r.doc_id for r in anchors.remove_near_duplicates(docs).collect()} == {k for k, _ in rows}
+
+
+def sentence_of(rng, n):
+    return " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(n))
+
+
+def test_parts_of_a_large_group(spark, monkeypatch):
+    """Groups cut into parts give the groups of all pairs."""
+    monkeypatch.setattr(anchors, "PART_RUNS", 300)
+    rng, rows = random.Random(14), []
+    for k in range(90):
+        w = [f"g{i}" for i in range(100)] if not rows or k % 3 == 0 else rng.choice(rows)[1].split()
+        for _ in range(2):
+            w[rng.randrange(len(w))] = f"z{k}"
+        rows.append((k, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    roots = brute.groups(range(90), lambda a, b: brute.jaccard(rows[a][1], rows[b][1]) >= 0.8)
+    assert 1 < len(set(roots.values())) < 60
+    assert {r.doc_id for r in anchors.remove_near_duplicates(docs).collect()} == set(roots.values())
+
+
 # 5 WARC ----------------------------------------------------------------------------------------------
 
 
