@@ -375,6 +375,20 @@ def test_added_kinds_and_scores():
     assert pii.mask("to a@b.fr now", pii.find_spans("to a@b.fr now")) == "to <email> now"
 
 
+@pytest.mark.parametrize(
+    "text, ibans",
+    [
+        ("IBAN DE89370400440532013000 BIC COBADEFFXXX", ["DE89370400440532013000"]),
+        ("GB82 WEST 1234 5698 7654 32 USD 500", ["GB82 WEST 1234 5698 7654 32"]),
+        ("DE89370400440532013000 GB82WEST12345698765432", ["DE89370400440532013000", "GB82WEST12345698765432"]),
+        ("AB12 DE89370400440532013000", ["DE89370400440532013000"]),
+        ("GB82 WEST 1234 5698 7654 33 USD 500", []),
+    ],
+)
+def test_ibans_before_other_words(text, ibans):
+    assert [text[s.start : s.end] for s in pii.find_spans(text) if s.kind == "iban"] == ibans
+
+
 # 8 Secrets -------------------------------------------------------------------------------------------
 
 

@@ -1,7 +1,7 @@
 """Personal data: regular expressions propose spans, validators confirm them, context adjusts a score.
 
 Offsets count code points. Every pattern is searched from the left without overlaps; failing matches
-are dropped and not tried again. A pattern that begins with a run of characters is only started where
+are dropped and not tried again, except that an IBAN may end at any earlier end of a word. A pattern that begins with a run of characters is only started where
 the run starts, which gives the same matches and keeps the search linear in long runs.
 """
 
@@ -86,6 +86,17 @@ KINDS = [
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "", "-",
          _social, 0.3, frozenset("ssn social security".split()), False),
 ]
+# Length of the IBANs of each country in the registry; others have 15 to 34 characters.
+IBAN_LENGTHS = {
+    code[:2]: int(code[2:])
+    for code in """
+    AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20
+    EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30
+    KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23
+    PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26
+    UA29 VA22 VG24 XK20 YE30
+    """.split()
+}
 _ORDER = {kind.name: i for i, kind in enumerate(KINDS)}
 _PLAIN = {kind.name: re.compile(kind.pattern) for kind in KINDS}
 _GUARDED = {
@@ -96,15 +107,42 @@ _DIGIT = re.compile("[0-9]")
 _WORD = re.compile("[a-z-]+")
 
 
-def _matches(kind: Kind, text: str) -> Iterator[re.Match]:
+def _next_start(kind: Kind, match: re.Match, end: int | None) -> int:
+    """Where the search goes on. What an over-long IBAN match ran into may hold another one."""
+    if kind.name != "iban":
+        return match.end()
+    return end if end is not None else match.start() + 1
+
+
+def _matches(kind: Kind, text: str) -> Iterator[tuple[int, int]]:
+    """``(start, end)`` of the valid matches."""
     plain, guarded, at = _PLAIN[kind.name], _GUARDED[kind.name], 0
     while True:
         # Right after a match a new one may start inside a run.
         match = (at and plain.match(text, at)) or guarded.search(text, at)
         if not match:
             return
-        yield match
-        at = match.end()
+        end = next((e for e in _ends(kind, match) if kind.valid(text[match.start() : e])), None)
+        if end is not None:
+            yield match.start(), end
+        at = _next_start(kind, match, end)
+
+
+def _ends(kind: Kind, match: re.Match) -> Iterator[int]:
+    """Ends to try: that of the match; for an IBAN those of its words, from long to short.
+
+    A country's IBANs have one length, so of a listed country only that end is tried.
+    """
+    if kind.name != "iban":
+        yield match.end()
+        return
+    found = match.group()
+    length = IBAN_LENGTHS.get(found[:2])
+    at = len(found)
+    while at >= 0:
+        if length is None or len(found[:at].replace(" ", "")) == length:
+            yield match.start() + at
+        at = found.rfind(" ", 0, at)
 
 
 def _near(text: str, start: int, end: int) -> set[str]:
@@ -119,14 +157,12 @@ def find_spans(text: str, threshold: float = THRESHOLD) -> list[Span]:
     for kind in KINDS:
         if (kind.needs and kind.needs not in text) or (kind.name != "email" and not digits):
             continue
-        for match in _matches(kind, text):
-            if not kind.valid(match.group()):
-                continue
+        for start, end in _matches(kind, text):
             score = kind.score
-            if kind.context & _near(text, match.start(), match.end()):
+            if kind.context & _near(text, start, end):
                 score = min(1.0, score + CONTEXT_BONUS)
             if kind.base or score >= threshold:
-                spans.append(Span(kind.name, match.start(), match.end(), round(score, 3)))
+                spans.append(Span(kind.name, start, end, round(score, 3)))
     return sorted(spans, key=lambda s: (s.start, _ORDER[s.kind], s.end))
 
 
