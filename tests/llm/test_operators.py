@@ -87,6 +87,22 @@ def test_neighbours(hard_docs, hard_rows, buckets):
     assert prints[""] == {(0, 0)}
 
 
+def test_neighbours_of_large_ids(spark):
+    """Ids that no double holds, out to both ends of the type."""
+    rng = random.Random(15)
+    ids = sorted({-(2**63), 2**63 - 1, *(rng.randrange(-(2**63), 2**63) for _ in range(200))})
+    rows = [(i, f"text number {k} " + "abcdefgh"[k % 8] * 20) for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    expected = []
+    for k, (doc_id, text) in enumerate(rows):
+        following, cut = rows[(k + 1) % len(rows)][1], len(text) // 4
+        expected.append((doc_id, hashlib.sha256((text[: len(text) - cut] + following[:cut]).encode()).hexdigest()))
+    for buckets in (7, 80):
+        found = simhash.neighbour_fingerprints(docs, buckets=buckets).collect()
+        same([(r.doc_id, r.edited_sha256) for r in found], expected)
+        assert all(r.next_fp is not None for r in found)
+
+
 def test_equal_texts_have_equal_fingerprints(hard_docs, hard_rows):
     found = {r.doc_id: (r.fp, r.fp2) for r in simhash.neighbour_fingerprints(hard_docs).collect()}
     by_text = defaultdict(set)

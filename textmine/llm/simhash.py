@@ -109,9 +109,14 @@ def neighbour_fingerprints(
     ids = rows.select("id").where(F.col("id").isNotNull())
     low = rows.agg(F.min("id"), F.count_if(F.col("id").isNull())).first()
     quantiles = ids.stat.approxQuantile("id", shares, 1 / (4 * buckets)) if buckets > 1 else []
-    bounds = sorted({int(q) for q in quantiles} - {low[0]})
+    # Quantiles are doubles, which are no ids of the table beyond 2^53: a range starts at its smallest id.
+    cuts = sorted({min(int(q), 2**63 - 1) for q in quantiles})
+    least = ids.groupBy(range_bucket(F.col("id"), cuts).alias("range")).agg(F.min("id").alias("id")) if cuts else None
+    bounds = sorted({r["id"] for r in least.collect()} - {low[0]}) if cuts else []
     last = len(bounds)
-    starts = F.col("id").isin(bounds) if last <= 64 else range_bucket(F.col("id"), bounds) != range_bucket(F.col("id") - 1, bounds)
+    # The smallest id of all starts no range, and nothing can be taken from the smallest long.
+    jumps = range_bucket(F.col("id"), bounds) != range_bucket(F.col("id") - 1, bounds)
+    starts = F.col("id").isin(bounds) if last <= 64 else F.when(F.col("id") > F.lit(low[0]), jumps)
     first = F.col("id").isNull() if low[1] else F.col("id") == F.lit(low[0])
     here = range_bucket(F.col("id"), bounds)
     # The row that starts a range also ends the one before; the first row of all ends the last range.
