@@ -86,6 +86,64 @@ SELECT page_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BI
        sha256(coalesce(text, '')) AS kept_sha256 FROM p LEFT JOIN kept USING (page_id)"""
 
 
+USABLE = """embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+WHOLE = "list_transform(embedding, lambda x: floor({scale} * x::DOUBLE))"
+
+HARD_NEGATIVES = f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           {WHOLE.format(scale=256)} AS v FROM embeddings WHERE label IS NOT NULL AND {USABLE}),
+scores AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+           list_inner_product(a.v, b.v)::BIGINT AS score
+           FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other))::INTEGER AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 10"""
+
+TOPK_SEARCH = f"""
+WITH v AS (SELECT vec_id, {WHOLE.format(scale=1024)} AS v FROM embeddings WHERE {USABLE}),
+scores AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.v, b.v)::BIGINT AS score
+           FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scores QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10"""
+
+# CRC-32 of the bytes of a word, by its table of 256 remainders.
+IMPORTANCE_RESAMPLING = f"""
+WITH crc_table AS (SELECT list_transform(range(256), lambda n:
+           list_reduce(list_prepend(n, range(8)), lambda c, i:
+             CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+docs AS (SELECT doc_id, {BENCH_WORDS} AS w FROM documents),
+seen AS (SELECT w, sum(raw)::BIGINT AS raw, sum(target)::BIGINT AS target FROM (
+           SELECT unnest(w) AS w, 1 AS raw, 0 AS target FROM docs
+           UNION ALL SELECT unnest({BENCH_WORDS}), 0, 1 FROM benchmark) GROUP BY w),
+bytes AS (SELECT *, hex(encode(w)) AS h FROM seen),
+placed AS (SELECT w, raw, target, xor(4294967295, list_reduce(
+             list_prepend(4294967295, list_transform(range(length(h) // 2), lambda i:
+               ('0x' || substr(h, (2 * i + 1)::BIGINT, 2))::BIGINT)),
+             lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) % 10000 AS bucket FROM bytes, crc_table),
+sums AS (SELECT bucket, sum(raw)::BIGINT AS s, sum(target)::BIGINT AS t FROM placed GROUP BY bucket),
+totals AS (SELECT coalesce(sum(s), 0)::BIGINT AS s_all, coalesce(sum(t), 0)::BIGINT AS t_all FROM sums),
+gains AS (SELECT bucket, floor(1000 * ln(((t + 1) * (s_all + 10000))::DOUBLE / ((s + 1) * (t_all + 10000))::DOUBLE))::BIGINT
+                 AS gain FROM sums, totals),
+word_gains AS (SELECT w, gain FROM placed JOIN gains USING (bucket)),
+weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight
+            FROM (SELECT doc_id, unnest(w) AS w FROM docs) JOIN word_gains USING (w) GROUP BY doc_id),
+scored AS (SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+           coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln(
+             (('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE)
+             / 4294967296.0::DOUBLE)))::BIGINT AS score
+           FROM docs LEFT JOIN weights USING (doc_id)),
+drawn AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+          FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN drawn USING (doc_id)"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op1_decontaminate": DECONTAMINATE,
@@ -93,4 +151,7 @@ def oracles() -> dict[str, str]:
         "op5_warc": WARC,
         "op9_mixing": MIXING,
         "op10_line_dedup": LINE_DEDUP,
+        "op11_hard_negatives": HARD_NEGATIVES,
+        "op12_importance_resampling": IMPORTANCE_RESAMPLING,
+        "op13_topk_search": TOPK_SEARCH,
     }

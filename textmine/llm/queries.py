@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmine.llm import anchors, decontaminate, lines, mixing, pii, repeats, secrets, simhash, toxicity, warc
+from textmine.llm import (
+    anchors, bitslice, decontaminate, lines, mixing, negatives, pii, repeats, resample, secrets, simhash, toxicity, warc,
+)
 from textmine.llm.common import spans_text
 from textmine.sources.scratch import written
 
@@ -122,9 +124,23 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.importance_resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return bitslice.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def registered() -> dict[str, Query]:
     named = (
         op1_decontaminate, op2_fingerprints, op3_substring_dedup, op4_simhash_links, op5_warc, op6_pii,
-        op7_toxicity, op8_secrets, op9_mixing, op10_line_dedup,
+        op7_toxicity, op8_secrets, op9_mixing, op10_line_dedup, op11_hard_negatives, op12_importance_resampling,
+        op13_topk_search,
     )
     return {query.__name__: query for query in named}
