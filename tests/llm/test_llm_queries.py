@@ -28,7 +28,7 @@ def tables():
 def test_registry():
     names = set(__spark_entry__.queries())
     assert set(registered()) | {"pipeline"} <= names
-    assert {name.split("_")[0] for name in registered()} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in registered()} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(registered()))
@@ -54,7 +54,7 @@ def test_pipeline(spark):
     columns = docs.columns
     before = {r.doc_id: r for r in docs.collect()}
     stages = dict(corpus_pipeline.STAGES)
-    assert list(stages) == ["toxicity", "line dedup", "near duplicates", "decontamination", "mixing"]
+    assert list(stages) == ["toxicity", "line dedup", "SimHash near-dedup", "decontamination", "mixing"]
 
     kept = stages["toxicity"](spark, docs, FOLDER)
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
@@ -77,16 +77,14 @@ def test_pipeline(spark):
         ]
         assert r.text == "\n".join(left) and r.n_chars == len(r.text)
 
-    single = stages["near duplicates"](spark, lined, FOLDER).cache()
+    single = stages["SimHash near-dedup"](spark, lined, FOLDER).cache()
     assert single.columns == columns
-    texts = {r.doc_id: r.text for r in lined.collect()}
-    left = {r.doc_id for r in single.collect()}
-    for i, t in texts.items():
-        alike = {j: brute.jaccard(t, u) for j, u in texts.items() if j != i}
-        if i in left:
-            assert all(x < 0.9 for j, x in alike.items() if j in left)
-        else:
-            assert max(alike.values()) > 0.6
+    prints = {r.doc_id: brute.fingerprint(r.text) for r in lined.collect()}
+    roots = brute.groups(set(prints.values()), lambda a, b: (a ^ b).bit_count() <= 3)
+    least = {}
+    for i, fp in sorted(prints.items()):
+        least.setdefault(roots[fp], i)
+    assert {r.doc_id for r in single.collect()} == set(least.values())
 
     clean = stages["decontamination"](spark, single, FOLDER).cache()
     assert clean.columns == columns
@@ -116,5 +114,5 @@ def test_copies_are_not_boilerplate(spark):
     lined = stages["line dedup"](spark, docs, FOLDER)
     found = {r.doc_id: r.text for r in lined.collect()}
     assert found == {k: t.replace("menu\n", "") for k, t, _, _ in rows}
-    left = {r.doc_id for r in stages["near duplicates"](spark, lined, FOLDER).collect()}
+    left = {r.doc_id for r in stages["SimHash near-dedup"](spark, lined, FOLDER).collect()}
     assert left == {0, 1, 2, *range(100, 120)}

@@ -183,8 +183,10 @@ def test_linked_documents(hard_docs, hard_rows, no_docs):
     assert anchors.linked_documents(no_docs).count() == 0
 
 
-def test_anchor_links_miss_nothing(spark):
-    """Random fingerprints with dense clusters and chains, against all pairs."""
+@pytest.mark.parametrize("most,held", [(anchors.ANCHOR_PRINTS, anchors.HELD_PRINTS), (5, 7), (1, 1)])
+def test_anchor_links_miss_nothing(spark, most, held, monkeypatch):
+    """Random fingerprints with dense clusters and chains, against all pairs, anchors whole and split."""
+    monkeypatch.setattr(anchors, "HELD_PRINTS", held)
     rng = random.Random(8)
     values = {rng.getrandbits(64) for _ in range(80)}
     for seed in list(values)[:6]:
@@ -195,7 +197,8 @@ def test_anchor_links_miss_nothing(spark):
         values |= set(cluster)
     values |= {0, 1, 3, 2**64 - 1}
     rows = [(v - (1 << 64) if v >> 63 else v,) for v in values]
-    links = anchors.anchor_links(spark.createDataFrame(rows, "fp long").repartition(6), ["fp"], ["fp"], 3)
+    prints = spark.createDataFrame(rows, "fp long").repartition(6)
+    links = anchors.anchor_links(prints, anchor_prints=most)
     found = {r.node: r.root for r in anchors.components(links).collect()}
     roots = brute.groups([f"{v:016x}" for v in values], lambda a, b: (int(a, 16) ^ int(b, 16)).bit_count() <= 3)
     assert {n: r for n, r in roots.items() if list(roots.values()).count(r) > 1} == found
@@ -208,91 +211,33 @@ def test_components_of_a_chain(spark):
     assert len(found) == 300 and {r.root for r in found} == {"000"}
 
 
-def test_remove_near_duplicates(hard_docs, hard_rows, no_docs):
-    kept = anchors.remove_near_duplicates(hard_docs)
+def test_remove_near_copies(hard_docs, hard_rows, no_docs):
+    kept = anchors.remove_near_copies(hard_docs)
     assert kept.columns == hard_docs.columns
-    left = {(r.doc_id, r.text) for r in kept.collect()}
-    rows = list({(i, t) for i, t, _ in hard_rows})
-    texts = {t or "" for _, t in rows}
-    assert {" ".join(brute.words(t)) for _, t in left} <= {" ".join(brute.words(t)) for t in texts}
-    # Equal texts keep one row; what is clearly alike keeps one, what is clearly not keeps all.
-    assert len({(t or "").strip() for _, t in left}) == len(left)
-    for i, t in rows:
-        others = [(j, u) for j, u in rows if (j, u) != (i, t)]
-        likeness = [brute.jaccard(t or "", u or "") for _, u in others]
-        if max(likeness) < 0.5:
-            assert (i, t) in left
-        if (i, t) in left:
-            assert all(x < 0.95 for x, (j, u) in zip(likeness, others) if (j, u) in left)
-    assert anchors.remove_near_duplicates(no_docs).count() == 0
-
-
-def _edited(rng, k, block):
-    """Two texts of distinct words and their Jaccard similarity, a little above or below 0.8."""
-    n = rng.randint(60, 200)
-    w = [f"w{k}x{i}" for i in range(n)]
-    other = list(w)
-    if block == "replaced":
-        at, m = rng.randint(4, n // 2), rng.randint(max(1, n // 9 - 8), n // 9)
-        other[at : at + m] = [f"y{k}x{i}" for i in range(m)]
-    elif block == "added":
-        other += [f"y{k}x{i}" for i in range(rng.randint(n // 5, n // 4 + 2))]
-    else:
-        for at in rng.sample(range(n), max(1, n // 45)):
-            other[at] = f"y{k}x{at}"
-    a, b = " ".join(w), " ".join(other)
-    return a, b, brute.jaccard(a, b)
-
-
-def test_pairs_at_the_threshold(spark):
-    """Edits of every shape around 0.8: found from there on, and never below."""
-    rng = random.Random(12)
-    pairs = [_edited(rng, k, ("replaced", "added", "scattered")[k % 3]) for k in range(900)]
-    rows = [(2 * k + side, pair[side]) for k, pair in enumerate(pairs) for side in range(2)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    left = {r.doc_id for r in anchors.remove_near_duplicates(docs).collect()}
-    assert all(2 * k in left for k in range(900))
-    at = [k for k, (_, _, x) in enumerate(pairs) if 0.8 <= x < 0.85]
-    assert len(at) > 100 and sum(0.72 <= x < 0.8 for _, _, x in pairs) > 100
-    assert {k for k in range(900) if 2 * k + 1 not in left} == {k for k, (_, _, x) in enumerate(pairs) if x >= 0.8}
-
-
-def test_bands_miss_next_to_nothing():
-    for similarity in (0.5, 0.8, 0.9, 1.0):
-        shared = similarity**anchors.BAND_ROWS
-        assert (1 - shared) ** anchors.band_count(similarity) <= anchors.MISSED
-
-
-def test_repeated_lines_do_not_make_near_duplicates(spark):
-    """Texts that share a repeated line and little else stay, and so do those of 0.7 to 0.79 in a chain."""
-    rng = random.Random(13)
-    line = " ".join(f"menu{i}" for i in range(8))
-    rows = [(k, f"{sentence_of(rng, 40)} " + f"{line} " * 30) for k in range(40)]
-    chain = [f"c{i}" for i in range(400)]
-    rows += [(100 + k, " ".join(chain[13 * k : 13 * k + 100])) for k in range(20)]
-    likeness = [brute.jaccard(a, b) for (_, a), (_, b) in zip(rows[40:], rows[41:])]
-    assert all(0.7 < x < 0.8 for x in likeness)
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    assert {r.doc_id for r in anchors.remove_near_duplicates(docs).collect()} == {k for k, _ in rows}
-
-
-def sentence_of(rng, n):
-    return " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(n))
-
-
-def test_parts_of_a_large_group(spark, monkeypatch):
-    """Groups cut into parts give the groups of all pairs."""
-    monkeypatch.setattr(anchors, "PART_RUNS", 300)
-    rng, rows = random.Random(14), []
-    for k in range(90):
-        w = [f"g{i}" for i in range(100)] if not rows or k % 3 == 0 else rng.choice(rows)[1].split()
-        for _ in range(2):
-            w[rng.randrange(len(w))] = f"z{k}"
-        rows.append((k, " ".join(w)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    roots = brute.groups(range(90), lambda a, b: brute.jaccard(rows[a][1], rows[b][1]) >= 0.8)
-    assert 1 < len(set(roots.values())) < 60
-    assert {r.doc_id for r in anchors.remove_near_duplicates(docs).collect()} == set(roots.values())
+    prints = {(i, t): brute.fingerprint(t) for i, t, _ in hard_rows}
+    roots = brute.groups(set(prints.values()), lambda a, b: (a ^ b).bit_count() <= 3)
+    of_group = defaultdict(list)
+    for (i, t), fp in prints.items():
+        of_group[roots[fp]].append((i is None, i or 0, t or ""))
+    left = {(r.doc_id is None, r.doc_id or 0, r.text or "") for r in kept.collect()}
+    for rows in of_group.values():
+        # Equal ids are ordered by a hash of their text.
+        own = [r for r in rows if r in left]
+        assert len(own) == 1 and own[0][:2] == min(rows)[:2]
+    assert len(left) == len(of_group)
+    assert anchors.remove_near_copies(no_docs).count() == 0
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Variants of one template, most with a fingerprint of their own, around few anchors."""
+    rng = random.Random(4)
+    base = rng.getrandbits(64)
+    values = {base ^ sum(1 << i for i in rng.sample(range(64), rng.randint(1, 3))) for _ in range(20000)}
+    rows = [(v - (1 << 64) if v >> 63 else v,) for v in values | {base}]
+    links = anchors.anchor_links(spark.createDataFrame(rows, "fp long").repartition(8), anchor_prints=256)
+    found = anchors.components(links).collect()
+    assert len(found) == len(rows) and len({r.root for r in found}) == 1
+    assert links.count() < 80 * len(rows)
 
 
 # 5 WARC ----------------------------------------------------------------------------------------------

@@ -7,34 +7,29 @@ nearest to the one is within 1 + 1 of the other. Each half is therefore copied t
 distance two, at most sixteen, and fingerprints are compared where they share an anchor. There are 2^26
 anchors per half, so an anchor holds few fingerprints unless they are alike.
 
-Near copies of texts meet by bands of minimum hashes and are compared exactly: see ``near_duplicates``.
+An anchor that many different fingerprints share is split: they differ in at most three bits of the other
+half, so they agree in one of its four bytes and meet again by anchor and byte.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from math import ceil, log, log1p
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmine.llm.common import SPACES, ascii_lower, text_hash, with_results, words
 from textmine.llm.simhash import fingerprint_votes, hex64
-from textmine.llm.wordhash import MIX, hash_words, scramble, shingle_hashes, slices, split_batch
 from textmine.sources.scratch import written
 
 RADIUS = 3
 TERM_WORDS = 3
-SHINGLE_WORDS = 5
-SIMILARITY = 0.8
-# Minimum hashes per band, and the share of pairs at the threshold that may have no band in common.
-BAND_ROWS = 6
-MISSED = 1e-4
-# Runs in one part of a candidate group; a task holds two parts.
-PART_RUNS = 1_000_000
+# Fingerprints that may share an anchor before it is split.
+ANCHOR_PRINTS = 4096
+# Fingerprints that a task gathers before it compares them.
+HELD_PRINTS = 65536
 SMALL_GROUP = 8
 
 # Bit masks of the five parity checks: check c covers the positions whose number has bit c.
@@ -60,22 +55,19 @@ def _anchors(half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(found)
 
 
-def _replicate(placed: Sequence[str], checked: Sequence[str]):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
-                check = [part.column(name).to_numpy() for name in checked]
-                for number, name in enumerate(placed):
-                    value = part.column(name).to_numpy().view(np.uint64)
-                    for side in range(2):
-                        half = (value >> np.uint64(32 * side)).astype(np.uint32) & np.uint32(0x7FFFFFFF)
-                        rows, code = _anchors(half)
-                        anchor = code.astype(np.int64) | np.int64((2 * number + side) << 32)
-                        columns = [pa.array(anchor)] + [pa.array(c[rows]) for c in check]
-                        yield pa.RecordBatch.from_arrays(columns, ["anchor", *checked])
-
-    return task
+def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fingerprints copied to their anchors on either half; bit 32 of an anchor tells the half."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 4096):
+            prints = batch.slice(start, 4096).column(0).to_numpy()
+            for side in range(2):
+                half = (prints.view(np.uint64) >> np.uint64(32 * side)).astype(np.uint32) & np.uint32(0x7FFFFFFF)
+                rows, code = _anchors(half)
+                anchor = code.astype(np.int64) | np.int64(side << 32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(anchor), pa.array(np.zeros(len(rows), np.int64)), pa.array(prints[rows])],
+                    ["anchor", "part", "fp"],
+                )
 
 
 def _star(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,50 +131,90 @@ def _forest(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.concatenate([nodes[root[member]], nodes[member]], axis=1)
 
 
-def _compare(checked: Sequence[str], radius: int):
-    names = [f"{side}_{name}" for side in "ab" for name in checked]
+def _compare(radius: int, most: int | None):
+    """Links within each key of rows ``(anchor, part, fp)`` that come ordered by both.
+
+    A key with more than ``most`` rows is not compared: its rows are given back, to be split.
+    """
 
-    def emit(anchor: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-        pairs = _forest(values, *_links(anchor, values.view(np.uint64), radius))
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(pairs.shape[1])], names)
+    def emit(keys: np.ndarray, values: np.ndarray, over: np.ndarray | None) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
+        sizes = np.diff(np.append(starts, len(keys)))
+        large = np.zeros(len(keys), bool)
+        if most is not None:
+            large = np.repeat(sizes > most, sizes)
+            if over is not None:
+                large |= (keys == over).all(axis=1)
+        group, small = np.repeat(np.arange(len(sizes)), sizes)[~large], values[~large]
+        pairs = _forest(small, *_links(group, small.view(np.uint64), radius)) if len(small) else np.empty((0, 2), np.int64)
+        columns = (
+            np.append(np.zeros(len(pairs), np.int64), keys[large, 0]),
+            np.append(pairs[:, 0], values[large, 0]),
+            np.append(pairs[:, 1], values[large, 0]),
+        )
+        linked = np.arange(len(columns[0])) < len(pairs)
+        arrays = [pa.array(columns[0], mask=linked), pa.array(columns[1]), pa.array(columns[2])]
+        return pa.RecordBatch.from_arrays(arrays, ["split", "a", "b"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors: list[np.ndarray] = []
-        values: list[np.ndarray] = []
-        held = 0
+        held_keys: list[np.ndarray] = []
+        held: list[np.ndarray] = []
+        rows, over = 0, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            anchors.append(batch.column(0).to_numpy())
-            values.append(np.stack([batch.column(i + 1).to_numpy() for i in range(len(checked))], axis=1))
-            held += batch.num_rows
-            # All but the last anchor, which may go on, once there is enough to work on.
-            if held >= 65536 and anchors[-1][-1] != anchors[0][0]:
-                anchor, value = np.concatenate(anchors), np.concatenate(values)
-                cut = np.searchsorted(anchor, anchor[-1])
-                yield emit(anchor[:cut], value[:cut])
-                anchors, values, held = [anchor[cut:]], [value[cut:]], len(anchor) - cut
-        if held:
-            yield emit(np.concatenate(anchors), np.concatenate(values))
+            held_keys.append(np.stack([batch.column(i).to_numpy() for i in range(2)], axis=1))
+            held.append(batch.column(2).to_numpy()[:, None])
+            rows += batch.num_rows
+            if rows < HELD_PRINTS:
+                continue
+            keys, values = np.concatenate(held_keys), np.concatenate(held)
+            before = np.flatnonzero((keys != keys[-1]).any(axis=1))
+            # All but the last key, which may go on; a key that is too large already goes as it comes.
+            cut = before[-1] + 1 if len(before) else 0
+            if most is not None and len(keys) - cut > most:
+                yield emit(keys, values, over)
+                cut, over = len(keys), keys[-1]
+            elif cut:
+                yield emit(keys[:cut], values[:cut], over)
+            held_keys, held, rows = [keys[cut:]], [values[cut:]], len(keys) - cut
+        if rows:
+            yield emit(np.concatenate(held_keys), np.concatenate(held), over)
 
     return task
 
 
-def anchor_links(prints: DataFrame, placed: Sequence[str], checked: Sequence[str], radius: int) -> DataFrame:
-    """Links ``(a, b)`` between nodes, the hex text of the ``checked`` fingerprints.
+COMPARED = "split long, a long, b long"
+
 
-    ``placed`` fingerprints decide the anchors; two that share one are linked if their ``checked``
-    fingerprints differ in at most ``radius`` bits. Of a connected group only a spanning part of its
-    links is given, so their number grows with the members and not with the pairs. With one fingerprint both placed and checked and
-    a radius up to three no pair is missed. Only distinct fingerprints are copied.
+def anchor_links(prints: DataFrame, radius: int = RADIUS, anchor_prints: int = ANCHOR_PRINTS) -> DataFrame:
+    """Links ``(a, b)`` between nodes, the hex text of the fingerprints in column ``fp``.
+
+    Two fingerprints that differ in at most ``radius`` bits, three at most, are linked or joined by other
+    links: of a connected group only a spanning part is given, so links grow with the members and not with
+    the pairs. Only distinct fingerprints are copied. Those of an anchor with more than ``anchor_prints``
+    meet again by anchor and by every byte of the half that the anchor does not cover: the anchor that
+    brings two of them together leaves at most three bits to differ there, so one byte agrees.
     """
-    longs = ", ".join(f"{name} long" for name in checked)
-    distinct = prints.select(*dict.fromkeys([*placed, *checked])).distinct()
-    copies = distinct.mapInArrow(_replicate(placed, checked), f"anchor long, {longs}")
-    meeting = copies.repartition("anchor").sortWithinPartitions("anchor")
-    schema = ", ".join(f"{side}_{name} long" for side in "ab" for name in checked)
-    met = meeting.mapInArrow(_compare(checked, radius), schema)
-    return _thinned(met.select(_node(checked, "a_").alias("a"), _node(checked, "b_").alias("b")))
+    if radius > RADIUS:
+        raise ValueError(f"anchors cover {RADIUS} differing bits at most")
+    copies = prints.select("fp").distinct().mapInArrow(_replicate, "anchor long, part long, fp long")
+
+    def met(rows: DataFrame, most: int | None) -> DataFrame:
+        ordered = rows.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+        return ordered.mapInArrow(_compare(radius, most), COMPARED)
+
+    first = written(met(copies, anchor_prints), "anchor-links")
+    crowded = first.where("split is not null").select(F.col("split").alias("anchor"), F.col("a").alias("fp"))
+    # The anchors of the low half, side 0, leave the high half, and the other way round.
+    shift = F.when(F.col("anchor").bitwiseAND(1 << 32) == 0, 32).otherwise(0)
+    byte = F.transform(
+        F.array(*[F.lit(i) for i in range(4)]),
+        lambda i: (F.call_function("shiftright", F.col("fp"), shift + 8 * i).bitwiseAND(255) + 256 * i).cast("long"),
+    )
+    parts = crowded.select("anchor", F.explode(byte).alias("part"), "fp")
+    links = first.where("split is null").unionByName(met(parts, None))
+    return _thinned(links.select(hex64(F.col("a")).alias("a"), hex64(F.col("b")).alias("b")))
 
 
 def _thinned(links: DataFrame) -> DataFrame:
@@ -199,10 +231,6 @@ def _thinned(links: DataFrame) -> DataFrame:
     return partners.select(F.inline(to_least)).distinct().where("a <> b")
 
 
-def _node(checked: Sequence[str], prefix: str = ""):
-    return F.concat(*[hex64(F.col(prefix + name)) for name in checked])
-
-
 def components(links: DataFrame) -> DataFrame:
     """``(node, root)`` for every node with a link: the smallest node it can reach.
 
@@ -236,13 +264,26 @@ def smallest_per_group(rows: DataFrame, roots: DataFrame, value: str) -> DataFra
     return grouped.join(least, "root").select("node", "smallest")
 
 
+def _linked(docs: DataFrame, doc_id: str, text: str, term_words: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Stored fingerprints ``(_id, _hash, fp, node)`` and the roots of their groups."""
+    rows = docs.select(
+        F.col(doc_id).alias("_id"),
+        text_hash(F.col(text)).alias("_hash"),
+        words(ascii_lower(F.col(text)), SPACES).alias("w"),
+    )
+    prints = fingerprint_votes(rows, ["_id", "_hash"], term_words, joined=True, wide=False)
+    stored = written(prints, "prints").withColumn("node", hex64(F.col("fp")))
+    return stored, components(anchor_links(stored, radius))
+
+
 def linked_documents(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
     term_words: int = TERM_WORDS,
+    radius: int = RADIUS,
 ) -> DataFrame:
-    """``doc_id, fingerprint, component_id``: documents linked at three or fewer differing bits.
+    """``doc_id, fingerprint, component_id``: documents linked at ``radius`` or fewer differing bits.
 
     Texts are lower-cased from A to Z and split at ASCII white space; the fingerprint takes the majority
     of the XXH64 bits of all runs of three words. Null and empty texts have fingerprint zero and are
@@ -250,264 +291,29 @@ def linked_documents(
     whose id is the smallest id present (null if there is none). Other columns are ignored; an empty
     table gives an empty result.
     """
-    rows = docs.select(
-        F.col(doc_id).alias("_id"),
-        text_hash(F.col(text)).alias("_hash"),
-        words(ascii_lower(F.col(text)), SPACES).alias("w"),
-    )
-    prints = fingerprint_votes(rows, ["_id", "_hash"], term_words, joined=True, wide=False)
-    stored = written(prints, "prints").withColumn("node", _node(["fp"]))
-    roots = components(anchor_links(stored, ["fp"], ["fp"], RADIUS))
+    stored, roots = _linked(docs, doc_id, text, term_words, radius)
     groups = smallest_per_group(stored.withColumnRenamed("_id", "id"), roots, "id")
     return stored.join(groups, "node").select(
         F.col("_id").alias("doc_id"), F.col("node").alias("fingerprint"), F.col("smallest").alias("component_id")
     )
 
 
-# Near copies of texts ------------------------------------------------------------------------------
-
-
-def band_count(similarity: float, rows: int = BAND_ROWS, missed: float = MISSED) -> int:
-    """Bands after which two sets with this Jaccard similarity share none with probability ``missed``.
-
-    A minimum hash is shared with the probability of the similarity, whatever the shape of the edit.
-    """
-    shared = similarity**rows
-    return 1 if shared >= 1 else ceil(log(missed) / log1p(-shared))
-
-
-def _run_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed runs of ``size`` words of each text, ascending, and their offsets."""
-    flat, offsets = split_batch(pc.ascii_lower(texts))
-    runs, starts = shingle_hashes(hash_words(flat), offsets, size)
-    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    runs = runs[np.lexsort((runs, owner))]
-    new = np.ones(len(runs), bool)
-    new[1:] = (runs[1:] != runs[:-1]) | (owner[1:] != owner[:-1])
-    return runs[new], np.concatenate([[0], np.cumsum(new)])[starts]
-
-
-def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    total = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(values, dtype=np.uint64)])
-    return total[starts[1:]] - total[starts[:-1]]
-
-
-def _bands(runs: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
-    """One key per band and set: the least of its runs under each of the band's hash functions."""
-    low = runs.astype(np.uint32)
-    numbers = scramble(np.arange(1, count * BAND_ROWS + 1, dtype=np.uint64) * MIX)
-    factors, shifts = numbers.astype(np.uint32) | np.uint32(1), (numbers >> np.uint64(32)).astype(np.uint32)
-    keys = np.empty((len(starts) - 1, count), np.uint64)
-    for band in range(count):
-        key = np.full(len(keys), band, np.uint64)
-        for k in range(band * BAND_ROWS, (band + 1) * BAND_ROWS):
-            key = scramble(key * MIX + np.minimum.reduceat(low * factors[k] + shifts[k], starts[:-1]))
-        keys[:, band] = key
-    return keys
-
-
-def _text_bands(size: int, count: int):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 2):
-                runs, starts = _run_sets(part.column(2), size)
-                sums = [_sums(scramble(runs + np.uint64(i * int(MIX) % 2**64)), starts) for i in (1, 2)]
-                sizes = np.diff(starts)
-                full = np.flatnonzero(sizes)
-                keys = _bands(runs, np.append(starts[full], starts[-1]), count) if len(full) else np.empty(0, np.uint64)
-                ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, count, 0))]).astype(np.int32)
-                bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))
-                numbers = [pa.array(x.view(np.int64)) for x in (*sums, sizes)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *numbers, bands], ["_id", "_hash", *NODE, "runs", "bands"]
-                )
-
-    return task
-
-
-NODE = ["s0", "s1"]
-
-
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of the first node of each band to the others, from rows in the order of their bands."""
-    last = root = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        band, node = (column.to_numpy() for column in batch.columns)
-        begins = np.append(last is None or band[0] != last, band[1:] != band[:-1])
-        at = np.maximum.accumulate(np.where(begins, np.arange(len(band)), -1))
-        roots = np.where(at >= 0, node[at], node[0] if root is None else root)
-        last, root = band[-1], roots[-1]
-        pairs = np.unique(np.stack([roots, node], axis=1)[roots != node], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers from each start on, as many as its size."""
-    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-
-
-def _alike(runs: np.ndarray, starts: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links, as row pairs, of the groups of sets whose Jaccard similarity reaches the threshold.
-
-    With runs ordered by rarity, two such sets share one of the first ``n - ceil(similarity * n) + 1``
-    runs of both. Only sets that do are compared, run by run, so nothing is missed.
-    """
-    sizes = np.diff(starts)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    _, code, times = np.unique(runs, return_inverse=True, return_counts=True)
-    rank = np.empty(len(times), np.int64)
-    rank[np.argsort(times, kind="stable")] = np.arange(len(times))
-    code = rank[code.reshape(-1)]
-    code = code[np.lexsort((code, owner))]
-    needed = np.ceil(similarity * sizes - 1e-9).astype(np.int64)
-    heads = np.where(sizes > 0, sizes - needed + 1, 0)
-    at = _ranges(starts[:-1], heads)
-    order = np.argsort(code[at], kind="stable")
-    listed, holder = code[at][order], owner[at][order]
-    first = np.searchsorted(listed, np.arange(len(times) + 1))
-    open_, marked = np.ones(len(sizes), bool), np.zeros(len(times), bool)
-    left = indexed = len(sizes)
-    roots, members = [], []
-    for root in range(len(sizes)):
-        if not open_[root]:
-            continue
-        open_[root], queue = False, [root]
-        left -= 1
-        while queue and left:
-            x = queue.pop()
-            # Sets that already have a group leave the lists.
-            if 2 * left < indexed:
-                stay = open_[holder]
-                listed, holder, indexed = listed[stay], holder[stay], left
-                first = np.searchsorted(listed, np.arange(len(times) + 1))
-            head = code[starts[x] : starts[x] + heads[x]]
-            near = holder[_ranges(first[head], first[head + 1] - first[head])]
-            near = np.unique(near[open_[near]])
-            near = near[np.minimum(sizes[near], sizes[x]) >= similarity * np.maximum(sizes[near], sizes[x]) - 1e-9]
-            if not len(near):
-                continue
-            own = code[starts[x] : starts[x + 1]]
-            marked[own] = True
-            hits = marked[code[_ranges(starts[near], sizes[near])]].astype(np.int64)
-            common = np.add.reduceat(hits, np.cumsum(sizes[near]) - sizes[near])
-            marked[own] = False
-            found = near[common >= similarity * (sizes[near] + sizes[x] - common) - 1e-9]
-            open_[found] = False
-            left -= len(found)
-            queue.extend(found)
-            roots.append(np.full(len(found), root))
-            members.append(found)
-    empty = np.empty(0, np.int64)
-    return np.concatenate([empty, *roots]), np.concatenate([empty, *members])
-
-
-def _verify(size: int, similarity: float):
-    names = [f"{side}_{name}" for side in "ab" for name in NODE]
-
-    def judged(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(held).combine_chunks()
-        nodes = np.stack([rows.column(name).to_numpy() for name in NODE], axis=1)
-        runs, starts = _run_sets(rows.column("text").combine_chunks(), size)
-        links = _alike(runs, starts, similarity)
-        return pa.RecordBatch.from_arrays([pa.array(nodes[rows_, i]) for rows_ in links for i in range(2)], names)
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size_held, last = [], 0, None
-        for batch in batches:
-            key = np.stack([batch.column(i).to_numpy() for i in range(5)], axis=1)
-            # Rows that repeat id and text come as one node more than once.
-            before = np.concatenate([key[:1] if last is None else last[None], key[:-1]])
-            new = (key != before).any(axis=1)
-            new[:1] |= last is None
-            if not new.any():
-                continue
-            batch, key = batch.filter(pa.array(new)), key[new]
-            edges = np.flatnonzero((key[1:, :3] != key[:-1, :3]).any(axis=1)) + 1
-            for start, end in zip([0, *edges], [*edges, len(key)]):
-                # Whole blocks at a time, as many as make a few megabytes.
-                if size_held > 4_000_000 and (last[:3] != key[start, :3]).any():
-                    yield judged(held)
-                    held, size_held = [], 0
-                held.append(batch.slice(start, end - start))
-                size_held += pc.sum(pc.binary_length(held[-1].column("text"))).as_py()
-                last = key[end - 1]
-        if held:
-            yield judged(held)
-
-    return task
-
-
-def _similar_links(stored: DataFrame, rows: DataFrame, similarity: float, size: int) -> DataFrame:
-    """Links ``(a, b)`` between nodes of ``stored`` whose sets of runs are similar.
-
-    Sets that share a band are candidates; the texts of a connected group of candidates meet and are
-    compared exactly. A group with many runs is cut into parts, and every two parts meet in a task.
-    """
-    nodes = stored.groupBy("s0").agg(F.first("bands").alias("bands"))
-    placed = nodes.select(F.explode("bands").alias("band"), "s0")
-    meeting = placed.repartition("band").sortWithinPartitions("band", "s0")
-    groups = components(_thinned(meeting.mapInArrow(_meet, "a long, b long"))).toDF("s0", "root")
-    one = stored.groupBy(*NODE).agg(F.first("runs").alias("runs"), F.min(F.struct("_id", "_hash")).alias("row"))
-    members = written(one.join(groups, "s0"), "candidates")
-    parts = members.groupBy("root").agg(F.ceil(F.sum("runs") / PART_RUNS).alias("parts"))
-    part = F.pmod(F.xxhash64(*NODE), F.col("parts"))
-    blocks = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("parts") - 1),
-        lambda q: F.struct(F.least(q, part).alias("p"), F.greatest(q, part).alias("q")),
-    )
-    chosen = members.join(parts, "root").select(
-        "root", *NODE, blocks.alias("blocks"), F.col("row._id").alias("_i"), F.col("row._hash").alias("_h")
-    )
-    texts = rows.select("_id", "_hash", "text")
-    met = texts.join(chosen, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")))
-    dealt = met.select("root", F.explode("blocks").alias("block"), *NODE, "text").select(
-        "root", "block.p", "block.q", *NODE, "text"
-    )
-    placed = dealt.repartition("root", "p", "q").sortWithinPartitions("root", "p", "q", *NODE)
-    schema = ", ".join(f"{side}_{name} long" for side in "ab" for name in NODE)
-    links = placed.mapInArrow(_verify(size, similarity), schema)
-    return _thinned(links.select(_node(NODE, "a_").alias("a"), _node(NODE, "b_").alias("b")))
-
-
-def near_duplicates(
+def remove_near_copies(
     docs: DataFrame,
-    similarity: float = SIMILARITY,
-    shingle_words: int = SHINGLE_WORDS,
     doc_id: str = "doc_id",
     text: str = "text",
+    term_words: int = TERM_WORDS,
+    radius: int = RADIUS,
 ) -> DataFrame:
-    """``(_id, _hash, keeper)`` per document: whether it is the one of its group that stays.
+    """One document of each group of ``linked_documents``, with all columns of ``docs``.
 
-    Documents are alike if their sets of hashed runs of five words have at least that Jaccard
-    similarity. Candidates share a band of minimum hashes, which a pair at the threshold misses with
-    probability ``MISSED``, one above it less; every candidate is compared exactly. Groups are
-    connected; the smallest id stays, null ids after all others, equal ids by text hash. Texts with
-    equal sets always share a group, texts without words make one group.
+    The smallest id stays, null ids after all others, equal ids by text hash. Rows that repeat both id and
+    text are one document: they stay or go together. Texts without words form one group, together with any
+    text whose fingerprint lies near zero. An empty table gives an empty result.
     """
-    kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(
-        F.col(doc_id).alias("_id"),
-        text_hash(F.col(text)).alias("_hash"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-    )
-    schema = f"_id {kind}, _hash long, s0 long, s1 long, runs long, bands array<long>"
-    prints = rows.mapInArrow(_text_bands(shingle_words, band_count(similarity)), schema)
-    stored = written(prints, "text-bands").withColumn("node", _node(NODE))
-    roots = components(_similar_links(stored, rows, similarity, shingle_words))
-    ranked = stored.select(
-        "node", "_id", "_hash", F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_hash")).alias("rank")
-    )
+    stored, roots = _linked(docs, doc_id, text, term_words, radius)
+    rank = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_hash"))
+    ranked = stored.select("node", "_id", "_hash", rank.alias("rank"))
     groups = smallest_per_group(ranked, roots, "rank")
-    return ranked.join(groups, "node").select("_id", "_hash", (F.col("rank") == F.col("smallest")).alias("keeper"))
-
-
-def remove_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each group of near copies, with all columns; see ``near_duplicates``.
-
-    Rows that repeat both id and text are one document: they stay or go together.
-    """
-    judged = near_duplicates(docs, doc_id=doc_id, text=text, **options)
-    gone = judged.where(~F.col("keeper")).select("_id", "_hash").distinct()
+    gone = ranked.join(groups, "node").where(F.col("rank") != F.col("smallest")).select("_id", "_hash").distinct()
     return with_results(docs, gone, doc_id, text, "left_anti")
