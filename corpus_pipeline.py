@@ -37,8 +37,8 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies."""
-    return anchors.remove_near_duplicates(docs)
+    """One document, that with the smallest id, of each group linked by SimHash; see ``op4``."""
+    return anchors.remove_near_copies(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("line dedup", drop_boilerplate_lines),
-    ("near duplicates", drop_near_copies),
+    ("SimHash near-dedup", drop_near_copies),
     ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
 ]
