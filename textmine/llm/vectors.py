@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from textmine.sources.scratch import scratch_path
+from textmine.sources.scratch import scratch_path, written
 
 #: Rows of a block of queries, which goes to the driver and to every task, and its bytes at most.
 BLOCK_ROWS = 1024
@@ -54,8 +54,10 @@ def query_blocks(queries: DataFrame, rows: int = BLOCK_ROWS) -> Iterator[pa.Tabl
         return
     most = max(1, min(rows, BLOCK_BYTES // (8 * max(1, widest))))
     path = scratch_path(spark, "queries")
-    distinct = queries.distinct()
-    distinct.write.option("maxRecordsPerFile", most).parquet(path)
+    distinct = written(queries.distinct(), "distinct-queries")
+    # Dealt out evenly, so that the files are as few as the rows allow.
+    even = distinct.repartition(max(1, -(-distinct.count() // most)))
+    even.write.option("maxRecordsPerFile", most).parquet(path)
     for file in sorted(spark.read.schema(distinct.schema).parquet(path).inputFiles()):
         block = spark.read.schema(distinct.schema).parquet(file).toArrow()
         if block.num_rows:
