@@ -1,3 +1,8 @@
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
 import pytest
 from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import functions as F
@@ -5,7 +10,7 @@ from pyspark.sql import functions as F
 from textmine import functions as fn
 from textmine import operators as op
 from textmine import plans
-from textmine.operators import lookup
+from textmine.operators import bayes, lookup
 
 
 @pytest.fixture(scope="module")
@@ -98,7 +103,8 @@ def test_parameters_equal_the_ml_model(corpus, statistics, features):
     priors = {r["cat"]: r["prior"] for r in op.class_priors(corpus, 0.5).collect()}
     for c, value in zip(labels, model.pi):
         assert priors[c] == pytest.approx(value, rel=1e-12)
-        assert statistics.log_prior(fn.TEST_FOLD, c, 0.5) == pytest.approx(value, rel=1e-12)
+        own = statistics.log_priors(fn.TEST_FOLD, 0.5)[statistics.classes.index(c)]
+        assert own == pytest.approx(value, rel=1e-12)
     weights = op.term_weights(op.fit_models(statistics), 0.5)
     found = sorted((r["cat"], round(r["weight"], 9)) for r in weights.collect())
     theta = model.theta.toArray()
@@ -160,3 +166,65 @@ def test_two_hundred_classes(monkeypatch, spark, broadcast):
     models = op.fit_models(op.fit_statistics(corpus))
     judged = op.score(corpus, models, "doc_id")
     assert judged.count() == 200 and judged.where("cat = pred_cat").count() == 200
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("block_classes,grid", [(2, [1.0, 0.5]), (1, [0.3]), (2, [k / 40 for k in range(1, 41)]), (32, [k / 40 for k in range(1, 41)])])
+def test_blocks_of_classes(monkeypatch, corpus, statistics, broadcast, block_classes, grid):
+    """Classes in blocks, and sums in narrower rows, give what one row per term gives."""
+    folds = [-1, 0, 1, 2]
+    monkeypatch.setattr(bayes, "BLOCK_VALUES", 10_000)
+    whole = op.score(corpus, op.fit_models(statistics, folds), "doc_id", smoothings=grid).collect()
+    monkeypatch.undo()
+    if not broadcast:
+        monkeypatch.setattr(lookup, "BROADCAST_LIMIT_BYTES", 0)
+    models = op.fit_models(statistics, folds, block_classes)
+    found = op.score(corpus, models, "doc_id", smoothings=grid).collect()
+    key = lambda r: (r["doc_id"], r["smoothing"])
+    assert len(found) == len(whole) == len(grid) * corpus.count()
+    for a, b in zip(sorted(found, key=key), sorted(whole, key=key)):
+        assert key(a) == key(b) and a["pred_cat"] == b["pred_cat"] and a["scores"] == pytest.approx(b["scores"], abs=1e-9)
+    weights = {(r["cat"], r["term"]): r["weight"] for r in op.term_weights(models).collect()}
+    plain = {(r["cat"], r["term"]): r["weight"] for r in op.term_weights(op.fit_models(statistics)).collect()}
+    assert weights == pytest.approx(plain, abs=1e-12)
+
+
+def test_a_thousand_classes(spark):
+    """Scores equal brute force; rows, columns and plan stay small, and code is generated."""
+    rng = random.Random(9)
+    n = 1000
+    rows = [
+        (k, " ".join([f"own{k % n}", *rng.choices([f"shared{i}" for i in range(40)], k=6)]), f"c{k % n:04d}", k % 5 - 1)
+        for k in range(4 * n)
+    ]
+    corpus = spark.createDataFrame(rows, "doc_id long, text string, cat string, fold int").repartition(4)
+    training = corpus.withColumn("fold", F.when(F.col("doc_id") < 3 * n, 0).otherwise(-1))
+    statistics = op.fit_statistics(training, min_df=1)
+    models = op.fit_models(statistics)
+    scored = op.score(training, models, "doc_id", smoothings=[1.0, 0.5])
+    assert models.blocks() == 32 and len(models.sums.columns) == 36
+    found = {(r["doc_id"], r["smoothing"]): r for r in scored.collect()}
+    plan = scored._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    sums = [line for line in plan.split("\n") if " HashAggregate(keys=[doc_id" in line and "sum((1.0 * d0_0" in line]
+    assert len(plan) < 60_000 and sums and all(re.match(r"[ :+|-]*\*\(\d+\)", line) for line in sums)
+    # A term of one class has a row for its block and one for block 0, not 32.
+    assert models.sums.where("term = 'own999'").count() == 2
+    train, test = [r for r in rows if r[0] < 3 * n], [r for r in rows if r[0] >= 3 * n]
+    df = Counter(t for r in rows for t in set(r[1].split()))
+    idf = {t: math.log((len(rows) + 1) / (d + 1)) for t, d in df.items()}
+    sums, total = defaultdict(float), defaultdict(float)
+    for _, text, cat, _ in train:
+        for t in text.split():
+            sums[cat, t] += idf[t]
+            total[cat] += idf[t]
+    assert len(found) == 2 * n
+    for doc_id, text, cat, _ in test[:: n // 20]:
+        for s in (1.0, 0.5):
+            row = found[doc_id, s]
+            expected = [
+                math.log(1 / n)
+                + sum(idf[t] * (math.log(sums[c, t] + s) - math.log(total[c] + s * len(df))) for t in text.split())
+                for c in statistics.classes
+            ]
+            assert row["scores"] == pytest.approx(expected, abs=1e-8)
+            assert row["pred_cat"] == cat

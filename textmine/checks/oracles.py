@@ -221,6 +221,8 @@ SELECT cat, term, round(weight, 4) AS weight FROM theta""",
         "nb_predict_quality": _predict("quality"),
         "nb_predict_role": _predict("role"),
         "nb_predict_source": _predict("source"),
+        "nb_predict_blocks": _predict("source"),
+        "nb_saved": _predict("source"),
         "prediction_pairs": f"WITH {_final('quality')} SELECT cat, pred_cat FROM predictions",
         "confusion_long": _confusion("language"),
         "confusion_long_quality": _confusion("quality"),

@@ -262,6 +262,23 @@ def nb_term_weights(spark: SparkSession, folder: str) -> DataFrame:
     return op.term_weights(models).select("cat", "term", F.round("weight", 4).alias("weight"))
 
 
+def nb_predict_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Twenty classes in blocks of eight, as a thousand would be in blocks of more."""
+    corpus = corpus_by_source(spark, folder)
+    scored = op.score(corpus, op.fit_models(op.fit_statistics(corpus), block_classes=8), "doc_id")
+    return scored.select("doc_id", "cat", "pred_cat", F.round(F.array_max("scores"), 3).alias("score"))
+
+
+def nb_saved(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of the test part with statistics that were saved and loaded again."""
+    corpus = corpus_by_source(spark, folder)
+    path = sources.scratch_path(spark, "saved-bayes")
+    sources.save_bayes(op.fit_statistics(corpus), path)
+    models = op.fit_models(sources.load_bayes(spark, path))
+    scored = op.score(corpus, models, "doc_id")
+    return scored.select("doc_id", "cat", "pred_cat", F.round(F.array_max("scores"), 3).alias("score"))
+
+
 def prediction_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return op.prediction_pairs(_predictions(corpus_by_quality(spark, folder)))
 
@@ -537,6 +554,8 @@ def registered() -> dict[str, Query]:
         "nb_predict_quality": _predict(quality),
         "nb_predict_role": _predict(role),
         "nb_predict_source": _predict(corpus_by_source),
+        "nb_predict_blocks": nb_predict_blocks,
+        "nb_saved": nb_saved,
         "prediction_pairs": prediction_pairs,
         "confusion_long": _confusion(language),
         "confusion_long_quality": _confusion(quality),

@@ -13,11 +13,12 @@ A corpus here has the columns ``text``, ``cat``, a unique key, and an integer ``
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from textmine.functions.splits import TEST_FOLD
 from textmine.functions.tokens import content_words
@@ -41,27 +42,30 @@ class BayesStatistics(NamedTuple):
     classes: list[str]
     n_terms: int
     term_bytes: int
+    stop_words: list[str] | None = None
 
     def trained_on(self, holdout: int) -> dict[str, int]:
         """Training documents per class, classes by falling count: the label order."""
-        counts = {c: int(self._sum(self.docs, c, holdout)) for c in self.classes}
-        return dict(sorted(counts.items(), key=lambda item: (-item[1], item[0])))
-
-    def _sum(self, values: dict[tuple[str, int], float], cat: str, holdout: int) -> float:
-        return sum(
-            value
-            for (c, fold), value in values.items()
-            if c == cat and fold not in (TEST_FOLD, holdout)
-        )
-
-    def log_prior(self, holdout: int, cat: str, smoothing: float) -> float:
-        docs = self.trained_on(holdout)
+        counts = self._sums(self.docs, holdout)
+        return dict(sorted(((c, int(n)) for c, n in counts.items()), key=lambda item: (-item[1], item[0])))
+
+    def _sums(self, values: dict[tuple[str, int], float], holdout: int) -> dict[str, float]:
+        sums = dict.fromkeys(self.classes, 0)
+        for (c, fold), value in values.items():
+            if fold not in (TEST_FOLD, holdout):
+                sums[c] += value
+        return sums
+
+    def log_priors(self, holdout: int, smoothing: float) -> list[float]:
+        """Per class, in the order of ``classes``."""
+        docs = self._sums(self.docs, holdout)
         share = sum(docs.values()) + smoothing * len(docs)
-        return math.log(docs[cat] + smoothing) - math.log(share)
+        return [math.log(docs[c] + smoothing) - math.log(share) for c in self.classes]
 
-    def log_total(self, holdout: int, cat: str, smoothing: float) -> float:
-        """Logarithm of the smoothed weight of all terms in a class."""
-        return math.log(self._sum(self.weights, cat, holdout) + smoothing * self.n_terms)
+    def log_totals(self, holdout: int, smoothing: float) -> list[float]:
+        """Logarithms of the smoothed weight of all terms per class, in the order of ``classes``."""
+        weights = self._sums(self.weights, holdout)
+        return [math.log(weights[c] + smoothing * self.n_terms) for c in self.classes]
 
     def row_bytes(self, values: int) -> int:
         """Rough size in memory of a lookup table with ``values`` numbers per term."""
@@ -139,6 +143,7 @@ def fit_statistics(
         sorted({cat for cat, _ in docs}),
         n_terms,
         term_bytes,
+        None if stop_words is None else list(stop_words),
     )
 
 
@@ -158,39 +163,75 @@ def _summary(stored: DataFrame) -> tuple[dict, int, int]:
     )
 
 
+# Classes in one row of a model table, and sums that one aggregation over tokens carries: within the number
+# of fields up to which Spark generates code.
+BLOCK_CLASSES = 32
+BLOCK_VALUES = 64
+
+
 class BayesModels(NamedTuple):
     """Naive Bayes models, one per held-out fold, sharing one class order.
 
-    ``sums`` has one row per (fold, term): the ``idf`` and per class the weight seen in training.
+    ``sums`` has rows ``(fold, term, block, idf, s0, s1, ...)``: the weight seen in training of the classes
+    from ``block * width`` on. A term has a row for block 0 and for every block with a class that has it.
     """
 
     statistics: BayesStatistics
     holdouts: list[int]
     sums: DataFrame
+    width: int
+
+    def blocks(self) -> int:
+        return -(-len(self.statistics.classes) // self.width)
+
 
+def fit_models(
+    statistics: BayesStatistics, holdouts: Sequence[int] = (TEST_FOLD,), block_classes: int = BLOCK_CLASSES
+) -> BayesModels:
+    """Models from the stored statistics; never touches the text.
 
-def fit_models(statistics: BayesStatistics, holdouts: Sequence[int] = (TEST_FOLD,)) -> BayesModels:
-    """Models from the stored statistics; never touches the text."""
+    Up to ``block_classes`` classes stand in one row per term. More are laid out in blocks, and only blocks
+    that a term occurs in have a row, so tables and plans do not grow with terms times classes.
+    """
     for holdout in holdouts:
         unseen = [c for c, n in statistics.trained_on(holdout).items() if n == 0]
         if unseen:
             raise ValueError(f"no training documents of {unseen} when fold {holdout} is held out")
+    classes = statistics.classes
     trains = (F.col("fold") != F.col("holdout")) & (F.col("fold") != TEST_FOLD)
     weight = F.when(trains, F.col("tf") * F.col("idf")).otherwise(0.0)
+    rows = statistics.terms.withColumn("holdout", F.explode(F.array(*[F.lit(h) for h in holdouts])))
+    rows = rows.withColumn("weight", weight)
+    if len(classes) <= block_classes:
+        width, rows = max(1, len(classes)), rows.withColumn("block", F.lit(0))
+        chosen = [F.col("cat") == c for c in classes]
+    else:
+        width = block_classes
+        numbers = _class_numbers(statistics)
+        head = F.struct(F.lit(0).alias("number"), F.lit(0.0).alias("weight"))
+        cells = F.array(F.struct("number", "weight"), head)
+        numbered = rows.join(F.broadcast(numbers), "cat")
+        rows = numbered.select("holdout", "term", "idf", F.inline(cells)).withColumn(
+            "block", F.floor(F.col("number") / width).cast("int")
+        )
+        chosen = [F.col("number") % width == k for k in range(width)]
     sums = (
-        statistics.terms.withColumn("holdout", F.explode(F.array(*[F.lit(h) for h in holdouts])))
-        .withColumn("weight", weight)
-        .groupBy("holdout", "term")
+        rows.groupBy("holdout", "term", "block")
         .agg(
             F.first("idf").alias("idf"),
-            *[
-                F.sum(F.when(F.col("cat") == c, F.col("weight")).otherwise(0.0)).alias(f"s{k}")
-                for k, c in enumerate(statistics.classes)
-            ],
+            *[F.sum(F.when(c, F.col("weight")).otherwise(0.0)).alias(f"s{k}") for k, c in enumerate(chosen)],
         )
         .withColumnRenamed("holdout", "fold")
     )
-    return BayesModels(statistics, list(holdouts), sums)
+    if len(classes) > block_classes:
+        sums = written(sums, "bayes-models")
+    return BayesModels(statistics, list(holdouts), sums, width)
+
+
+def _class_numbers(statistics: BayesStatistics) -> DataFrame:
+    """``(cat, number)``: the place of each class in ``classes``."""
+    schema = StructType([statistics.terms.schema["cat"], StructField("number", IntegerType())])
+    return statistics.terms.sparkSession.createDataFrame([(c, k) for k, c in enumerate(statistics.classes)], schema)
 
 
 def class_priors(corpus: DataFrame, smoothing: float = 1.0) -> DataFrame:
@@ -212,18 +253,70 @@ def term_weights(models: BayesModels, smoothing: float = 1.0) -> DataFrame:
     statistics = models.statistics
     if TEST_FOLD not in models.holdouts:
         raise ValueError("the final model is not among the fitted ones: fit with holdout -1")
-    rows = [
-        F.struct(
-            F.lit(c).alias("cat"),
-            F.col("term"),
-            (
-                F.log(F.col(f"s{k}") + smoothing)
-                - F.lit(statistics.log_total(TEST_FOLD, c, smoothing))
-            ).alias("weight"),
+    final = models.sums.where(F.col("fold") == TEST_FOLD)
+    columns = [f"s{k}" for k in range(models.width)]
+    if models.blocks() > 1:
+        # Blocks without a row: no class there has the term.
+        every = final.where(F.col("block") == 0).select(
+            "term", F.explode(F.sequence(F.lit(0), F.lit(models.blocks() - 1))).alias("block")
         )
-        for k, c in enumerate(statistics.classes)
-    ]
-    return models.sums.where(F.col("fold") == TEST_FOLD).select(F.inline(F.array(*rows)))
+        final = every.join(final, ["term", "block"], "left").fillna(0.0, columns)
+    cells = F.array(
+        *[
+            F.struct((F.col("block") * models.width + k).alias("number"), F.col(name).alias("sum"))
+            for k, name in enumerate(columns)
+        ]
+    )
+    totals = statistics.log_totals(TEST_FOLD, smoothing)
+    schema = StructType(
+        [
+            StructField("number", IntegerType()), statistics.terms.schema["cat"], StructField("log_total", DoubleType())
+        ]
+    )
+    named = models.sums.sparkSession.createDataFrame(
+        [(k, c, t) for k, (c, t) in enumerate(zip(statistics.classes, totals))], schema
+    )
+    long = final.select("term", F.inline(cells)).join(F.broadcast(named), "number")
+    return long.select("cat", "term", (F.log(F.col("sum") + smoothing) - F.col("log_total")).alias("weight"))
+
+
+def _narrower(width: int, limit: int) -> int:
+    """The largest width up to ``limit`` into which rows of ``width`` classes can be cut evenly."""
+    return max(w for w in range(1, max(1, min(width, limit)) + 1) if width % w == 0)
+
+
+def _differences(models: BayesModels, smoothings: Sequence[float], width: int) -> DataFrame:
+    """Lookup table ``(fold, term, block, idf, d0_0, ...)`` with ``width`` classes in a row.
+
+    ``d`` is what a class adds to a term's weight beyond that of a term it never saw. The ``idf`` stands in
+    block 0 only, so that adding up rows counts it once per term.
+    """
+    names = [[f"d{g}_{j}" for j in range(width)] for g in range(len(smoothings))]
+
+    def fields(block: Column, sums: Sequence[str]) -> list[Column]:
+        found = [block.alias("block"), F.when(block == 0, F.col("idf")).otherwise(0.0).alias("idf")]
+        for row, s in zip(names, smoothings):
+            for name, seen in zip(row, sums):
+                found.append(F.expr(f"idf * (ln({seen} + {_double(s)}) - {_double(math.log(s))})").alias(name))
+        return found
+
+    if width == models.width:
+        return models.sums.select("fold", "term", *fields(F.col("block"), [f"s{j}" for j in range(width)]))
+    # Each row in narrower ones: the columns do not grow, and rows without any difference are not made.
+    per = models.width // width
+    sums = [f"s{k}" for k in range(models.width)]
+    parts = F.array(
+        *[
+            F.struct(
+                (F.col("block") * per + i).alias("b"),
+                *[F.expr(name).alias(f"s{j}") for j, name in enumerate(sums[i * width : (i + 1) * width])],
+            )
+            for i in range(per)
+        ]
+    )
+    any_seen = F.expr(" + ".join(f"s{j}" for j in range(width))) > 0
+    narrow = models.sums.select("fold", "term", "idf", F.inline(parts)).where((F.col("b") == 0) | any_seen)
+    return narrow.select("fold", "term", *fields(F.col("b"), [f"s{j}" for j in range(width)]))
 
 
 def score(
@@ -240,74 +333,94 @@ def score(
     that part is a single product per document and the lookup table only carries the differences.
     A document's terms sit next to each other when they are summed, so the map side folds them into
     one row before anything is shuffled.
+
+    Many classes are summed in blocks, a row per document and block, and a document's blocks meet once.
+    Stop words are those of the statistics unless given.
     """
     statistics, holdouts = models.statistics, models.holdouts
+    stop_words = statistics.stop_words if stop_words is None else stop_words
     if any(s <= 0 for s in smoothings):
         raise ValueError("smoothing must be above 0: a term that a class never saw has no weight otherwise")
-    cells = [
-        (f"d{g}_{k}", s, k)
-        for g, s in enumerate(smoothings)
-        for k in range(len(statistics.classes))
-    ]
-    table = models.sums.selectExpr(
-        "fold",
-        "term",
-        "idf",
-        *[f"idf * (ln(s{k} + {_double(s)}) - {_double(math.log(s))}) AS {d}" for d, s, k in cells],
-    )
-    size = statistics.row_bytes(1 + len(cells)) * len(holdouts)
+    n_classes = len(statistics.classes)
+    width = models.width
+    if width * len(smoothings) > BLOCK_VALUES:
+        width = _narrower(width, BLOCK_VALUES // len(smoothings))
+    blocks = -(-n_classes // width)
+    names = [[f"d{g}_{j}" for j in range(width)] for g in range(len(smoothings))]
+    values = ["idf", *[name for row in names for name in row]]
+    table = _differences(models, smoothings, width)
+    if blocks == 1:
+        size = statistics.row_bytes(len(values)) * len(holdouts)
+    else:
+        rows_of = table.agg(F.count("*").alias("n"), F.sum(F.octet_length("term")).alias("bytes")).first()
+        size = (rows_of["bytes"] or 0) + rows_of["n"] * (64 + 8 * len(values))
     held_out = corpus.where(F.col("fold").isin(holdouts))
     if broadcastable(size):
         # No row moves, and adding up occurrences costs less than counting them first.
         tokens = F.explode_outer(content_words("text", stop_words)).alias("term")
         rows = held_out.select(*key, "cat", "fold", tokens, F.lit(1).cast("long").alias("tf"))
-    else:
-        rows = term_counts(held_out, *key, "cat", "fold", stop_words=stop_words)
-    if broadcastable(size):
         found = lookup_join(rows, table, ["fold", "term"], size, spread_by=key, how="left")
     else:
+        rows = term_counts(held_out, *key, "cat", "fold", stop_words=stop_words)
         # A row per document, added after the join, keeps those without any known term.
         salts = salts_for(sum(statistics.docs.values()))
         known = lookup_join(rows, table, ["fold", "term"], size, spread_by=key, salts=salts)
-        names = [*key, "cat", "fold"]
-        blank = held_out.select(*names, *[F.lit(None).cast("double").alias(c) for c in ("tf", "idf", *(d for d, _, _ in cells))])
-        found = known.select(*blank.columns).union(blank.withColumn("tf", F.col("tf").cast("long")))
-    summed = found.groupBy(*key, "cat", "fold").agg(
-        *[
-            F.expr(f"coalesce(sum(tf * {d}), 0D) AS {d}")
-            for d in ("idf", *[d for d, _, _ in cells])
-        ]
-    )
-
-    def by_fold(value: Callable[[int], float]) -> str:
-        whens = " ".join(f"WHEN {h} THEN {_double(value(h))}" for h in holdouts)
-        return f"CASE fold {whens} END"
-
-    # Equal scores go to the class that comes first in the label order of that model.
-    order = {h: list(statistics.trained_on(h)) for h in holdouts}
+        blank = held_out.select(
+            *key, "cat", "fold", F.lit(None).cast("long").alias("tf"), F.lit(None).cast("int").alias("block"),
+            *[F.lit(None).cast("double").alias(c) for c in values],
+        )
+        found = known.select(*blank.columns).union(blank)
+    by = [*key, "cat", "fold"]
+    totals = [F.expr(f"coalesce(sum(tf * {d}), 0D) AS {d}") for d in values]
+    arrays = [F.array(*row) for row in names]
+    if blocks == 1:
+        summed = found.groupBy(*by).agg(*totals).select(*by, "idf", *[a.alias(f"d{g}") for g, a in enumerate(arrays)])
+    else:
+        folded = found.withColumn("block", F.coalesce("block", F.lit(0))).groupBy(*by, "block").agg(*totals)
+        cell = F.struct("block", F.struct(*[a.alias(f"d{g}") for g, a in enumerate(arrays)]).alias("d"))
+        met = folded.groupBy(*by).agg(F.sum("idf").alias("idf"), F.map_from_entries(F.collect_list(cell)).alias("of"))
+        none = F.array_repeat(F.lit(0.0), width)
+
+        def dense(g: int):
+            every = F.transform(
+                F.sequence(F.lit(0), F.lit(blocks - 1)),
+                lambda b: F.coalesce(F.try_element_at("of", b)[f"d{g}"], none),
+            )
+            return F.slice(F.flatten(every), 1, n_classes).alias(f"d{g}")
+
+        summed = met.select(*by, "idf", *[dense(g) for g in range(len(smoothings))])
+    constants = _score_constants(models, smoothings)
+    joined = summed.join(F.broadcast(constants), "fold")
     per_smoothing = []
     for g, s in enumerate(smoothings):
-        scored = []
-        for k, c in enumerate(statistics.classes):
-            prior = by_fold(lambda h: statistics.log_prior(h, c, s))
-            rest = by_fold(lambda h: math.log(s) - statistics.log_total(h, c, s))
-            rank = by_fold(lambda h: -order[h].index(c))
-            value = f"{prior} + idf * {rest} + d{g}_{k}"
-            scored.append(f"named_struct('score', {value}, 'rank', {rank}, 'class', {k})")
-        per_smoothing.append(
-            f"named_struct('smoothing', {_double(s)}, 'scored', array({', '.join(scored)}))"
-        )
-    classes = F.array(*[F.lit(c) for c in statistics.classes])
-    return summed.select(
-        *key, "cat", "fold", F.expr(f"inline(array({', '.join(per_smoothing)}))")
-    ).select(
-        *key,
-        "cat",
-        "fold",
-        "smoothing",
-        classes[F.expr("array_max(scored).class")].alias("pred_cat"),
-        F.col("scored.score").alias("scores"),
+        base = F.zip_with(f"prior{g}", f"rest{g}", lambda prior, rest: prior + F.col("idf") * rest)
+        scores = F.zip_with(base, F.col(f"d{g}"), lambda x, d: x + d)
+        per_smoothing.append(F.struct(F.lit(float(s)).alias("smoothing"), scores.alias("scores")))
+    scored = joined.select(*by, "ties", F.inline(F.array(*per_smoothing)))
+    # Equal scores go to the class that comes first in the label order of that model.
+    best = F.array_max(
+        F.zip_with("scores", "ties", lambda s, t: F.struct(s.alias("score"), t["rank"].alias("rank"), t["cat"].alias("cat")))
     )
+    return scored.select(*by, "smoothing", best["cat"].alias("pred_cat"), "scores")
+
+
+def _score_constants(models: BayesModels, smoothings: Sequence[float]) -> DataFrame:
+    """One row per fold: what every document's scores start from, and the order of classes on a tie."""
+    statistics = models.statistics
+    cat = statistics.terms.schema["cat"]
+    tie = StructType([StructField("rank", IntegerType()), cat])
+    numbers = ArrayType(DoubleType())
+    fields = [StructField("fold", IntegerType()), StructField("ties", ArrayType(tie))]
+    for g in range(len(smoothings)):
+        fields += [StructField(f"prior{g}", numbers), StructField(f"rest{g}", numbers)]
+    rows = []
+    for h in models.holdouts:
+        place = {c: -k for k, c in enumerate(statistics.trained_on(h))}
+        row = [h, [(place[c], c) for c in statistics.classes]]
+        for s in smoothings:
+            row += [statistics.log_priors(h, s), [math.log(s) - total for total in statistics.log_totals(h, s)]]
+        rows.append(tuple(row))
+    return models.sums.sparkSession.createDataFrame(rows, StructType(fields))
 
 
 def validate(

@@ -1,4 +1,5 @@
 from textmine.plans.classification import (
+    bayes_pipeline,
     class_labels,
     cross_validator,
     fit_linear_svc,
@@ -18,6 +19,7 @@ from textmine.plans.features import (
 
 __all__ = [
     "add_features",
+    "bayes_pipeline",
     "class_labels",
     "cross_validator",
     "feature_model",

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, NaiveBayes
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import IndexToString, StringIndexer
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from textmine.functions.splits import TEST_FOLD
+from textmine.operators.bayes import BayesStatistics
 from textmine.operators.labels import index_to_string
+from textmine.operators.terms import Vocabulary
+from textmine.plans.features import feature_model
 from textmine.sources.tables import copy_to
 
 
@@ -25,6 +31,46 @@ def naive_bayes_pipeline(cat: str = "cat", smoothing: float = 1.0) -> Pipeline:
     )
 
 
+def bayes_pipeline(statistics: BayesStatistics, smoothing: float = 1.0) -> PipelineModel:
+    """The final model of aggregated statistics as a fitted ML pipeline, from ``text`` to ``pred_cat``.
+
+    ML's naive Bayes learns sums of features and numbers of rows per class, so it is fitted on one weighted
+    row per class that has both: the mean feature vector, weighted by the number of documents. The pipeline
+    saves and loads like any other and needs nothing of this library. As ML models do, it holds the
+    vocabulary and a number per term and class in memory: for more than 256 MB of terms it raises.
+    ``text`` must not be null.
+    """
+    terms = statistics.terms
+    spark = terms.sparkSession
+    per_term = terms.groupBy("term").agg(F.first("idf").alias("idf"), F.sum("tf").alias("cf"))
+    vocabulary = Vocabulary(per_term, sum(statistics.docs.values()), statistics.n_terms, statistics.term_bytes)
+    features = feature_model(vocabulary, statistics.stop_words)
+    listed = features.stages[2].vocabulary
+    numbers = spark.createDataFrame(list(enumerate(listed)), "index int, term string")
+    docs = statistics.trained_on(TEST_FOLD)
+    labels = list(docs)
+    kind = terms.schema["cat"].dataType.simpleString()
+    classes = spark.createDataFrame(
+        [(c, k, float(n)) for k, (c, n) in enumerate(docs.items())], f"cat {kind}, label int, rows double"
+    )
+    sums = (
+        terms.where(F.col("fold") != TEST_FOLD)
+        .groupBy("term", "cat")
+        .agg((F.sum("tf") * F.first("idf")).alias("weight"))
+    )
+    # Every term in every class, so that a sorted list of a class is its vector.
+    label = F.explode(F.sequence(F.lit(0), F.lit(len(labels) - 1)))
+    every = numbers.withColumn("label", label).join(F.broadcast(classes), "label").join(sums, ["term", "cat"], "left")
+    mean = F.coalesce(F.col("weight"), F.lit(0.0)) / F.col("rows")
+    vectors = every.groupBy("label", "rows").agg(
+        F.array_sort(F.collect_list(F.struct("index", mean.alias("mean")))).alias("cells")
+    )
+    table = vectors.select(F.col("label").cast("double"), "rows", array_to_vector(F.transform("cells", lambda c: c["mean"])).alias("features"))
+    model = NaiveBayes(modelType="multinomial", smoothing=smoothing, weightCol="rows").fit(table)
+    names = IndexToString(inputCol="prediction", outputCol="pred_cat", labels=[str(c) for c in labels])
+    return PipelineModel(stages=[*features.stages, model, names])
+
+
 def param_grid(pipeline: Pipeline, values: Mapping[str, Mapping[str, Sequence]]) -> list[dict]:
     """Grid over stage parameters, such as ``{"NaiveBayes": {"smoothing": [1.0, 0.5]}}``.
 

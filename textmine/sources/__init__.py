@@ -12,7 +12,7 @@ from textmine.sources.files import (
     write_json,
     write_parquet,
 )
-from textmine.sources.models import load_model, load_pipeline, save_model
+from textmine.sources.models import load_bayes, load_model, load_pipeline, model_versions, save_bayes, save_model
 from textmine.sources.scratch import remove_scratch, scratch_dir, scratch_path, with_row_id, written
 from textmine.sources.tables import (
     cache_table,
@@ -30,12 +30,15 @@ __all__ = [
     "collect_small",
     "compute",
     "copy_to",
+    "load_bayes",
     "load_model",
     "load_pipeline",
+    "model_versions",
     "read_csv",
     "read_json",
     "read_parquet",
     "read_raw_posts",
+    "save_bayes",
     "save_model",
     "remove_scratch",
     "scratch_dir",
