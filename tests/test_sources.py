@@ -1,3 +1,7 @@
+import random
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +96,23 @@ def test_spread_leaves_wide_scans_alone(spark):
     assert narrow.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
 
+def test_spread_counts_splits_that_hold_rows(spark, tmp_path):
+    """One row group of many megabytes: byte ranges for half the cores, all rows in one of them."""
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=12)) for _ in range(50_000)]
+    rows = [(k, " ".join(rng.choices(words, k=60))) for k in range(20_000)]
+    table = pa.table({"id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    pq.write_table(table, tmp_path / "one.parquet", row_group_size=len(rows), compression="none", use_dictionary=False)
+    one = spark.read.parquet(f"file://{tmp_path}/one.parquet")
+    assert 2 * one.rdd.getNumPartitions() >= 8
+    assert [n for (n,) in one.groupBy(F.spark_partition_id()).count().select("count").collect()] == [len(rows)]
+    even = sources.spread(one, "id", cores=8)
+    assert even.rdd.getNumPartitions() == 8 and even.groupBy(F.spark_partition_id()).count().count() == 8
+    pq.write_table(table, tmp_path / "many.parquet", row_group_size=500, compression="none", use_dictionary=False)
+    many = spark.read.parquet(f"file://{tmp_path}/many.parquet")
+    assert sources.spread(many, "id", cores=8) is many
+
+
 def test_scratch_dir_follows_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     path = sources.scratch_dir(spark)

@@ -197,6 +197,7 @@ SELECT term, df, cf FROM vocabulary ORDER BY cf DESC, term LIMIT 500""",
         "idf_weights": f"WITH {corpus} SELECT term, df, round(idf, 4) AS idf FROM vocabulary",
         "tfidf": TFIDF,
         "vector_tfidf": TFIDF,
+        "dictionary_tfidf": TFIDF,
         "ml_tfidf": TFIDF,
         "hash_split": f"""WITH {corpus}
 SELECT doc_id, CASE WHEN fold = -1 THEN 'test' ELSE 'training' END AS part FROM docs""",
@@ -255,6 +256,7 @@ SELECT cat, count(*) FILTER (WHERE pred_cat = '0') AS "0",
         "ml_predict": _labels("quality"),
         "ml_eval": _eval("quality", *ALL_METRICS),
         "csv_multiline": "SELECT doc_id, text, lang AS cat FROM documents",
+        "csv_split": "SELECT doc_id, text, lang AS cat FROM documents",
         "csv_roundtrip": f"WITH {corpus} SELECT text, cat FROM corpus",
         "csv_preprocess": f"""
 SELECT {_cleaned(JOINED)} AS text, regexp_extract(html, 'lang="([a-z]+)"', 1) AS cat FROM pages""",

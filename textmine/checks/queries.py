@@ -186,6 +186,16 @@ def vector_tfidf(spark: SparkSession, folder: str) -> DataFrame:
     return _named_entries(model, plans.add_features(model, corpus))
 
 
+def dictionary_tfidf(spark: SparkSession, folder: str) -> DataFrame:
+    """The same vectors over a vocabulary that stays in Spark, entries by term."""
+    corpus = corpus_by_language(spark, folder)
+    numbered = op.numbered_terms(op.fit_vocabulary(corpus))
+    entries = plans.vector_entries(op.add_vectors(corpus, numbered, "doc_id"), "features", "doc_id")
+    names = numbered.table.select(F.col("index").cast("int").alias("index"), "term")
+    named = op.lookup_join(entries, names, ["index"], numbered.row_bytes(1), spread_by=["doc_id"])
+    return named.select("doc_id", "term", F.round("value", 4).alias("tfidf"))
+
+
 def ml_tfidf(spark: SparkSession, folder: str) -> DataFrame:
     corpus = corpus_by_language(spark, folder)
     model = plans.preprocessing_pipeline().fit(corpus)
@@ -423,6 +433,15 @@ def csv_multiline(spark: SparkSession, folder: str) -> DataFrame:
     return back.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
+def csv_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through one file that several tasks read."""
+    path = sources.scratch_path(spark, "raw-csv")
+    raw = _documents(spark, folder)
+    sources.write_csv(raw.coalesce(1), path, sep=",", max_records_per_file=0)
+    back = sources.read_csv(spark, path, sources.all_strings(raw), sep=",", split=True)
+    return back.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Cleaned text through a semicolon-separated file that many tasks can split."""
     path = sources.scratch_path(spark, "corpus-csv")
@@ -541,6 +560,7 @@ def registered() -> dict[str, Query]:
         "idf_weights": idf_weights,
         "tfidf": tfidf,
         "vector_tfidf": vector_tfidf,
+        "dictionary_tfidf": dictionary_tfidf,
         "ml_tfidf": ml_tfidf,
         "hash_split": hash_split,
         "random_split": random_split,
@@ -581,6 +601,7 @@ def registered() -> dict[str, Query]:
         "svc_checks": svc_checks,
         "svc_f1": svc_f1,
         "csv_multiline": csv_multiline,
+        "csv_split": csv_split,
         "csv_roundtrip": csv_roundtrip,
         "csv_preprocess": csv_preprocess,
         "csv_by_name": csv_by_name,

@@ -20,6 +20,7 @@ from textmine.operators.corpus import (
     row_count,
     schema_rows,
 )
+from textmine.operators.dictionary import add_vectors, numbered_terms
 from textmine.operators.evaluation import (
     confusion_long,
     confusion_table,
@@ -55,6 +56,7 @@ __all__ = [
     "BayesModels",
     "BayesStatistics",
     "Vocabulary",
+    "add_vectors",
     "best_smoothing",
     "binary_label",
     "build_corpus",
@@ -77,6 +79,7 @@ __all__ = [
     "label_index",
     "lookup_join",
     "metrics",
+    "numbered_terms",
     "prediction_pairs",
     "preview",
     "random_split",

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from textmine.sources.quoted import quoted_records
+
 RAW_POSTS = "Title string, Body string, Category string"
 CORPUS = "text string, cat string"
 # What stands for null in the library's own files; an empty field stays an empty text.
@@ -13,18 +15,31 @@ NULL_MARK = "\\N"
 
 
 def spread(df: DataFrame, *key: str, cores: int | None = None) -> DataFrame:
-    """Hash-spread a scan that has far fewer splits than the session has cores.
+    """Hash-spread a scan whose rows lie in far fewer splits than the session has cores.
 
-    One small file would otherwise keep every later step on a single core. A scan with at least half
-    as many splits as ``cores`` is left alone: moving whole texts to win less than that costs more.
-    Hashing by a key keeps the layout the same on a retry.
+    One small file would otherwise keep every later step on a single core. Splits that hold no row do not
+    count: a file with one row group is read by one task, however many byte ranges it is cut into. Where
+    rows come from at least half as many splits as there are ``cores``, the scan is left alone: moving whole
+    texts to win less than that costs more. Hashing by a key keeps the layout the same on a retry.
     """
     cores = cores or df.sparkSession.sparkContext.defaultParallelism
-    if 2 * df.rdd.getNumPartitions() >= cores:
+    if 2 * df.rdd.getNumPartitions() >= cores and 2 * _splits_with_rows(df, cores) >= cores:
         return df
     return df.repartition(cores, *key)
 
 
+def _splits_with_rows(df: DataFrame, enough: int) -> int:
+    """Distinct splits that rows come from, or many for a scan with many more splits than ``enough``.
+
+    The count reads no column, so of parquet only the footers.
+    """
+    partitions = df.rdd.getNumPartitions()
+    if partitions > 8 * enough or not df.inputFiles():
+        return partitions
+    split = F.struct(F.input_file_name(), F.expr("input_file_block_start()"))
+    return df.select(split.alias("split")).distinct().count()
+
+
 def _registered(df: DataFrame, name: str | None) -> DataFrame:
     if name:
         df.createOrReplaceTempView(name)
@@ -46,6 +61,7 @@ def read_csv(
     name: str | None = None,
     mode: str = "FAILFAST",
     null_mark: str | None = NULL_MARK,
+    split: bool = False,
 ) -> DataFrame:
     """Delimited text with a header; the columns of ``schema`` are found by their names there.
 
@@ -56,6 +72,8 @@ def read_csv(
 
     ``multi_line`` reads fields with line breaks, one task per file. Cleaned text holds no ``\\n``,
     so ``multi_line=False`` splits big files among tasks; a lone ``\\r`` stays inside its field.
+    ``split`` reads fields with line breaks by many tasks per file, at the price of reading twice; quotes may
+    then stand around fields only, and ``DROPMALFORMED`` is not supported. See ``quoted_records``.
     """
     wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     found = _header(spark, path, sep, multi_line)
@@ -64,6 +82,8 @@ def read_csv(
         raise ValueError(f"no column {missing} in {path}; its header is {found}")
     types = {field.name: field.dataType for field in wanted}
     file_schema = StructType([StructField(column, types.get(column, StringType())) for column in found])
+    if split:
+        return _registered(_split_csv(spark, path, file_schema, sep, mode, null_mark).select(*wanted.names), name)
     reader = (
         spark.read.schema(file_schema)
         .option("header", True)
@@ -83,9 +103,26 @@ def read_csv(
     return _registered(reader.csv(path).select(*wanted.names), name)
 
 
-def read_raw_posts(spark: SparkSession, path: str, name: str | None = None, mode: str = "FAILFAST") -> DataFrame:
+def _split_csv(
+    spark: SparkSession, path: str, file_schema: StructType, sep: str, mode: str, null_mark: str | None
+) -> DataFrame:
+    """The records of ``quoted_records`` but for the headers, each parsed by itself."""
+    if mode.upper() not in ("FAILFAST", "PERMISSIVE"):
+        raise ValueError(f"mode {mode} is not supported with split")
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": mode, "multiLine": "true"}
+    if null_mark is not None:
+        options |= {"nullValue": null_mark, "emptyValue": ""}
+    records = quoted_records(spark, path).where(~F.col("first"))
+    return records.select(F.from_csv("record", file_schema.toDDL(), options).alias("r")).select("r.*")
+
+
+def read_raw_posts(
+    spark: SparkSession, path: str, name: str | None = None, mode: str = "FAILFAST", split: bool = False
+) -> DataFrame:
     """Raw posts by column name: ``Title``, ``Body`` and ``Category`` of whatever header there is."""
-    return read_csv(spark, path, schema=RAW_POSTS, sep=",", multi_line=True, name=name, mode=mode, null_mark=None)
+    return read_csv(
+        spark, path, schema=RAW_POSTS, sep=",", multi_line=True, name=name, mode=mode, null_mark=None, split=split
+    )
 
 
 def all_strings(df: DataFrame) -> StructType:
