@@ -8,14 +8,19 @@ only the pieces of records that cross a split are shuffled.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# The function of the tasks travels with them, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Splits of one read; their table is broadcast. At 128 MB a split this is 128 TB.
 MOST_SPLITS = 1_000_000
 _RECORDS = "file string, start long, part int, first boolean, record string"
