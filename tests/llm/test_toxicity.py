@@ -4,7 +4,11 @@ import math
 import random
 import zlib
 
+from pathlib import Path
+
+import brute_toxicity
 import pytest
+from pyspark.sql import functions as F
 
 from textmine.llm import toxicity
 
@@ -88,11 +92,11 @@ def test_ratios_are_those_of_two_distributions():
     """Both conditional models sum to one over all characters of a context."""
     counts = {}
     for word, c, n in (("abba", 0, 3), ("abca", 1, 2), ("bab", 0, 1), ("cab", 1, 1), ("aaaa", 0, 2)):
-        for gram in toxicity._grams(word, 3):
+        for gram in brute_toxicity.grams_of(word, 3):
             counts.setdefault(gram, [0, 0])[c] += n
     rows = [(g, *n) for g, n in counts.items()]
-    shared = toxicity._shared(set(counts), 3)
-    ratios = toxicity.fit_ratios(rows, 3)
+    shared = brute_toxicity._shared(set(counts), 3)
+    ratios = brute_toxicity.fit_ratios(rows, 3)
     alphabet = "abc$"
     for context in {g[:-1] for g in counts}:
         seen = [sum(n[c] for g, n in counts.items() if g[:-1] == context) for c in (0, 1)]
@@ -113,15 +117,70 @@ def test_ratios_are_those_of_two_distributions():
                 assert ratios.grams[context + x] == pytest.approx(math.log(p[1][x] / p[0][x]))
 
 
-def test_lower_order_when_the_model_is_too_large(tables):
+@pytest.mark.parametrize("order", [2, 3, 6])
+def test_word_ratios_equal_brute_force(tables, order):
+    """Every word of the corpus, known to the models or not, against models in plain Python."""
+    rows, docs, labels = tables
+    known = toxicity.class_of_texts(docs.drop("toxic", "evidence"), labels)
+    learnt = F.when(F.col("fold") != toxicity.CALIBRATION, F.col("toxic"))
+    words = toxicity.word_counts(known.select("text", learnt.alias("class")))
+    counted = {r.word: (r.ordinary, r.toxic) for r in words.collect()}
+    truth = {k: y for k, _, y in rows}
+    expected = {}
+    for r in docs.collect():
+        tokens = [t for t in (x.strip(toxicity.EDGES) for x in (r.text or "").lower().split()) if t]
+        fold = zlib.crc32(str(r.doc_id).encode()) % 5
+        for t in tokens:
+            pair = expected.setdefault(t, [0, 0])
+            if r.doc_id in truth and fold not in (toxicity.HELD_OUT, toxicity.CALIBRATION):
+                pair[truth[r.doc_id]] += 1
+    assert counted == {w: tuple(n) for w, n in expected.items()}
+    counts = {}
+    for word, n in expected.items():
+        for gram in brute_toxicity.grams_of(word, order) if sum(n) else []:
+            entry = counts.setdefault(gram, [0, 0])
+            entry[0] += n[0]
+            entry[1] += n[1]
+    model = brute_toxicity.fit_ratios([(g, *n) for g, n in counts.items()], order)
+    by_hash = {r.h: r.ratio for r in toxicity.word_ratios(words, order).collect()}
+    assert len(by_hash) == len(expected)
+    for r in words.select("word", "h").collect():
+        assert by_hash[r.h] == pytest.approx(model.word(r.word), abs=1e-9)
+
+
+def test_joined_and_sent_ratios_give_equal_scores(tables):
     rows, docs, labels = tables
-    texts = toxicity.labelled_texts(docs.drop("toxic", "evidence"), labels)
-    full, order = toxicity.gram_counts(texts)
-    assert order == toxicity.ORDER
-    small, lower = toxicity.gram_counts(texts, model_rows=full.count() // 2)
-    assert lower < order and small.count() <= full.count() // 2
-    sums = [sum(r.ordinary + r.toxic for r in g.collect()) for g in (full, small)]
-    assert sums[0] == sums[1]
+    def scores(limit):
+        return sorted(
+            (r.doc_id is None, r.doc_id or 0, r.score) for r in toxicity.toxicity(docs, labels, limit=limit).collect()
+        )
+
+    sent, joined = scores(toxicity.WORDS_BROADCAST_BYTES), scores(0)
+    assert [r[:2] for r in sent] == [r[:2] for r in joined]
+    assert [r[2] for r in sent] == pytest.approx([r[2] for r in joined], abs=1e-9)
+
+
+def test_strong_evidence_is_not_cut_off(spark):
+    """Of two texts far above the threshold the stronger one scores higher."""
+    curve = toxicity.Curve(0.05, -5.0)
+    values = spark.createDataFrame([(float(x),) for x in range(0, 300, 20)], "x double")
+    scores = [r.s for r in values.select(curve.of(F.col("x")).alias("s"), "x").orderBy("x").collect()]
+    assert all(a < b for a, b in zip(scores, scores[1:]))
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="no test tables")
+def test_held_out_accuracy_on_the_given_tables(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    found = toxicity.toxicity(docs.repartition(8, "doc_id"), labels).where("held_out")
+    rows = found.join(labels, "doc_id").select("score", "toxic").collect()
+    assert auc([(r.score, r.toxic) for r in rows]) >= 0.95
+
+
+def auc(pairs):
+    """Share of (toxic, ordinary) pairs in the right order, ties counting half."""
+    toxic, other = [s for s, y in pairs if y], [s for s, y in pairs if not y]
+    wins = sum((a > b) + 0.5 * (a == b) for a in toxic for b in other)
+    return wins / (len(toxic) * len(other))
 
 
 def test_curve_is_finite_on_separated_data():
