@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from itertools import combinations
 
@@ -150,3 +151,68 @@ def secrets(text):
     found += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 16]
     found += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 32]
     return [(kind, start, end) for start, _, end, kind in sorted(found)]
+
+
+LETTERS, NUMBERS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+ALPHABETS = [
+    ("[0-9]+", NUMBERS), ("[a-z]+", LETTERS), ("[A-Z]+", LETTERS.upper()), ("[A-Za-z]+", LETTERS.upper() + LETTERS),
+    ("[0-9a-f]+", NUMBERS + "abcdef"), ("[0-9A-F]+", NUMBERS + "ABCDEF"), ("[A-Z2-7]+", LETTERS.upper() + "234567"),
+    ("[0-9a-z]+", NUMBERS + LETTERS), ("[0-9A-Z]+", NUMBERS + LETTERS.upper()),
+    ("[0-9A-Za-z]+", NUMBERS + LETTERS.upper() + LETTERS), ("[0-9A-Za-z_-]+", LETTERS.upper() + LETTERS + NUMBERS + "-_"),
+    (".*", LETTERS.upper() + LETTERS + NUMBERS + "+/-_="),
+]
+
+
+def randomness(token):
+    """p of the battery, and the length that decides the token's range."""
+    body = token.rstrip("=")
+    n = len(body)
+    alphabet = next(a for pattern, a in ALPHABETS if re.fullmatch(pattern, body))
+    k, words = len(alphabet), body.isalpha()
+    x = [alphabet.index(c) + 1 for c in body]
+
+    def tail(z):
+        z = max(-8.0, min(8.0, z))
+        return 1 / (1 + math.exp(1.5976 * z + 0.070565992 * z**3))
+
+    chi = sum(x.count(v) ** 2 for v in set(x)) * k / n - n
+    df = k - 1
+    uniform = ((max(chi, 0) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+    high = [c.lower() in "aeiou" if words else v > k / 2 for c, v in zip(body, x)]
+    n1 = sum(high)
+    mean = 2 * n1 * (n - n1) / n + 1
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:]))
+    spread = math.sqrt(max((mean - 1) * (mean - 2) / max(n - 1, 1), 1e-9))
+    along = abs(runs - mean) / spread if 0 < n1 < n else 8.0
+    frequent = sum(c.lower() in "etaoinsrhl" for c in body) if words else n1
+    share = 10 / 26 if words else (k - k // 2 - (k % 2 > 0)) / k
+    root = (frequent - n * share) / math.sqrt(n * share * (1 - share))
+    centre = sum(x) / n
+    var = sum((v - centre) ** 2 for v in x)
+    lagged = sum((a - centre) * (b - centre) for a, b in zip(x, x[1:]))
+    serial = abs(lagged / var + 1 / n) * math.sqrt(n) if var > 0 else 8.0
+    p = [tail(uniform), 2 * tail(along), tail(root) if words else 2 * tail(abs(root)), 2 * tail(serial)]
+    h = -sum(math.log(min(1.0, max(v, 1e-12))) for v in p)
+    return min(1.0, math.exp(-h) * (1 + h + h * h / 2 + h**3 / 6)), n
+
+
+def random_spans(texts, rate=0.05):
+    """Per text the tokens for which randomness is not rejected, apart from the base spans."""
+    found = []
+    for t, text in enumerate(texts):
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text or ""):
+            if len(m.group()) >= 20:
+                p, n = randomness(m.group())
+                step = min(math.floor(-math.log(max(p, 1e-12)) * 20), 400)
+                found.append((sum(n >= low for low in (32, 48, 64)), step, t, m.start(), m.end()))
+    limits = {}
+    for stratum in {f[0] for f in found}:
+        steps = sorted((f[1] for f in found if f[0] == stratum), reverse=True)
+        passing = [s for s in steps if math.exp(-s / 20) <= rate * sum(x >= s for x in steps) / len(steps)]
+        limits[stratum] = min(passing, default=401)
+    out = [[] for _ in texts]
+    for stratum, step, t, start, end in found:
+        apart = all(end <= a or b <= start for _, a, b in secrets(texts[t]))
+        if step < limits[stratum] and apart:
+            out[t].append(("random", start, end))
+    return out

@@ -373,6 +373,44 @@ def test_secrets(spark, hard_rows, no_docs):
     assert len(flagged & set(random_tokens)) >= 27
     assert not flagged & {"x1" * 20, "ab12" * 15, "1" * 40, "a1" + "b" * 40}
     assert secrets.find_secrets(no_docs).count() == 0
+    for k, spans in enumerate(brute.random_spans(texts)):
+        assert [tuple(s) for s in found[k].added] == spans
+
+
+LONG_WORDS = """internationalization counterrevolutionary electroencephalograph antidisestablishmentarianism
+Rechtsschutzversicherungen uncharacteristically Geschwindigkeitsbegrenzung Kraftfahrzeughaftpflichtversicherung
+state-of-the-art-solution some/path/to/a/file/here snake_case_identifier_name 20240101123000202401
+incomprehensibilities anticonstitutionnellement desoxyribonucleicacid institutionalizations""".split()
+
+
+def test_keys_of_any_characters(spark):
+    """Random keys of letters or digits alone are found, long words are not."""
+    rng = random.Random(7)
+    small = "abcdefghijklmnopqrstuvwxyz"
+    groups = {
+        (alphabet, n): ["".join(rng.choices(alphabet, k=n)) for _ in range(200)]
+        for alphabet in ("0123456789", small, small.upper() + small)
+        for n in (20, 40)
+    }
+    keys = [k for group in groups.values() for k in group]
+    texts = [f"key {k} and {LONG_WORDS[i % len(LONG_WORDS)]}" for i, k in enumerate(keys)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = secrets.find_secrets(docs).collect()
+    flagged = {texts[r.doc_id][s.start : s.end] for r in rows for s in r.added}
+    # Long runs of digits are hexadecimal to the base patterns already.
+    known = flagged | {texts[r.doc_id][s.start : s.end] for r in rows for s in r.base}
+    for group in groups.values():
+        assert len(known & set(group)) >= 180
+    assert not flagged & set(LONG_WORDS)
+
+
+def test_many_matches_in_a_text(spark):
+    """Spans of a text with thousands of matches, across the chunks they are placed in."""
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choices("0123456789abcdef", k=rng.choice([8, 32, 40]))) for _ in range(20000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = secrets.find_secrets(docs).first()
+    assert [tuple(s) for s in row.base] == brute.secrets(text) and len(row.base) > 10000
 
 
 # 9 Mixing --------------------------------------------------------------------------------------------

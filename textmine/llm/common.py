@@ -88,9 +88,13 @@ def null_safe_lookup(
     spread_by: Sequence[str],
     how: str = "inner",
 ) -> DataFrame:
-    """``lookup_join`` on one string column whose null is a key like any other."""
+    """``lookup_join`` on one string column whose null is a key like any other.
+
+    The other columns of ``table`` must not have names that ``rows`` has, nor ``_salt``.
+    """
     null, value = F.col(key).isNull(), F.coalesce(key, F.lit(""))
-    coded = rows.withColumns({"_null": null, key: value})
-    other = table.withColumns({"_null": null, key: value})
-    joined = lookup_join(coded, other, ["_null", key], table_bytes, spread_by, how)
-    return joined.withColumn(key, F.when(~F.col("_null"), F.col(key))).drop("_null")
+    flag = fresh(rows, "_null_key")
+    coded = rows.withColumns({flag: null, key: value})
+    other = table.withColumns({flag: null, key: value})
+    joined = lookup_join(coded, other, [flag, key], table_bytes, spread_by, how)
+    return joined.withColumn(key, F.when(~F.col(flag), F.col(key))).drop(flag)

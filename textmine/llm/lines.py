@@ -84,20 +84,48 @@ def drop_boilerplate(
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
     distinct: bool = False,
+    all_name: str = "lines",
+    kept_name: str = "kept",
 ) -> DataFrame:
-    """All columns of ``pages`` and the arrays ``lines`` and ``kept`` (renamed on a clash).
+    """All columns of ``pages`` and the arrays ``all_name`` and ``kept_name``, which must be new names.
 
     Blank lines stay, null texts have no lines, repeated rows count as pages of their own unless
     ``distinct`` is set, an empty table gives an empty result. Every row keeps its place even when all
-    its lines go.
+    its lines go. Pages without a host, null or empty, are one host each way. Columns of ``pages`` may have
+    any other names.
     """
+    taken = {c.lower() for c in pages.columns} & {all_name.lower(), kept_name.lower()}
+    if taken:
+        raise ValueError(f"the table has columns {sorted(taken)} already; choose other names for the results")
     lists = boilerplate(pages, host, lines, ratio, min_pages, distinct)
     size = lists.agg(F.sum(128 + 48 * F.size("drop"))).first()[0] or 0
-    all_lines, kept = fresh(pages, "lines"), fresh(pages, "kept")
-    rows = pages.withColumns({all_lines: lines, "_host": host})
-    joined = null_safe_lookup(rows, lists, "_host", size, [key], "left")
+    rows = pages.withColumn(all_name, lines)
+    of, drop = fresh(rows, "_of_host"), fresh(rows, "_drop_lines")
+    joined = null_safe_lookup(rows.withColumn(of, host), lists.toDF(of, drop), of, size, [key], "left")
     stays = F.filter(
-        F.col(all_lines),
-        lambda x: ~_counted(x) | ~F.coalesce(F.array_contains(F.col("drop"), _digest(x)), F.lit(False)),
+        F.col(all_name),
+        lambda x: ~_counted(x) | ~F.coalesce(F.array_contains(F.col(drop), _digest(x)), F.lit(False)),
     )
-    return joined.withColumn(kept, stays).drop("_host", "drop")
+    return joined.withColumn(kept_name, stays).drop(of, drop)
+
+
+def drop_boilerplate_lines(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: str = "source", length: str = "n_chars", **options
+) -> DataFrame:
+    """``docs`` with the lines of ``text`` that stand in more than a tenth of their group's distinct texts cut out.
+
+    Copies of a document count once, so a large group of copies is not boilerplate to itself. Every
+    document and all columns stay; ``length`` follows its text where lines went and is left alone where
+    none did. Null texts stay null, a null group is one of its own, repeated rows stay, an empty table gives
+    an empty result, further columns may have any names.
+    """
+    every, kept = fresh(docs, "_lines"), fresh(docs, "_kept_lines")
+    split = split_lines(F.col(text))
+    cut = drop_boilerplate(
+        docs, F.col(group), split, doc_id, distinct=True, all_name=every, kept_name=kept, **options
+    )
+    shorter = F.size(kept) < F.size(every)
+    joined = F.array_join(kept, "\n")
+    changed = {text: F.when(shorter, joined).otherwise(F.col(text))}
+    changed[length] = F.when(shorter, F.length(joined).cast("long")).otherwise(F.col(length))
+    return cut.withColumns(changed).select(*docs.columns)

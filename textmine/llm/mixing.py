@@ -80,21 +80,35 @@ def mixed(
     size = F.size(words(F.col(text))).cast("long")
     sized = docs.select(F.col(source).alias("source"), size.alias("size"))
     targets = written(source_targets(sized, weights, share, most), "targets")
-    targets = targets.toDF("_source", "_source_size", "_target")
-    names = [fresh(docs, n) for n in ("size", "source_size", "target", "copies")]
-    bytes_ = targets.agg(F.sum(64 + F.coalesce(F.octet_length("_source"), F.lit(0)))).first()[0] or 0
-    rows = docs.withColumns({names[0]: size, "_source": F.col(source)})
-    joined = null_safe_lookup(rows, targets, "_source", bytes_, [doc_id])
-    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(0.0)
+    taken = docs.withColumns({name: F.lit(None) for name in names})
+    own, own_size, own_target = (fresh(taken, f"_mix_{n}") for n in ("source", "size", "target"))
+    targets = targets.toDF(own, own_size, own_target)
+    bytes_ = targets.agg(F.sum(64 + F.coalesce(F.octet_length(own), F.lit(0)))).first()[0] or 0
+    rows = docs.withColumns({names[0]: size, own: F.col(source)})
+    joined = null_safe_lookup(rows, targets, own, bytes_, [doc_id])
+    rate = F.when(F.col(own_size) > 0, F.try_divide(F.col(own_target), F.col(own_size))).otherwise(0.0)
     whole = F.floor(rate)
     copies = whole + (draw(F.col(doc_id), seed) < rate - whole).cast("long")
-    return joined.withColumns(
-        {names[1]: F.col("_source_size"), names[2]: F.col("_target"), names[3]: copies}
-    ).drop("_source", "_source_size", "_target")
+    return joined.withColumns({names[1]: F.col(own_size), names[2]: F.col(own_target), names[3]: copies}).drop(
+        own, own_size, own_target
+    )
+
+
+def result_names(docs: DataFrame) -> list[str]:
+    """The names that ``mixed`` gives to size, source size, target and copies: new ones where they clash."""
+    return [fresh(docs, n) for n in ("size", "source_size", "target", "copies")]
 
 
 def repeated(mix: DataFrame, copies: str = "copies") -> DataFrame:
-    """The mix itself: every row as often as ``copies`` says."""
+    """The mix itself: every row as often as its column ``copies`` says, numbered in ``copy``.
+
+    The number's name is lengthened on a clash. Rows with 0 or null copies go, an empty table stays empty.
+    """
     return mix.where(F.col(copies) > 0).withColumn(
         fresh(mix, "copy"), F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))
     )
+
+
+def mixture(docs: DataFrame, **options) -> DataFrame:
+    """``mixed`` and ``repeated`` in one, whatever the columns of ``docs`` are called."""
+    return repeated(mixed(docs, **options), result_names(docs)[3])

@@ -113,7 +113,7 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "pages")
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
     split = lines.split_lines(F.col("html"), lines.HTML_LINES)
     kept = lines.drop_boilerplate(pages, lines.host_of(F.col("url")), split, "page_id")
     return kept.select(

@@ -1,9 +1,11 @@
 """Secrets: known forms by pattern, and strings that look random by a battery of tests.
 
 All of it is built-in functions. Offsets of matches come from the lengths of the pieces between them.
-Long tokens are tested per inferred encoding for a uniform alphabet (chi-squared), for runs and for serial
-correlation. Tokens for which randomness is rejected are set aside, with the false discovery rate
-controlled separately per range of lengths, as longer tokens are easier to judge; the others are flagged.
+Long tokens are tested per inferred encoding for a uniform alphabet (chi-squared over all characters and
+over two classes of them), for runs and for serial correlation, and the tests are joined by Fisher's method.
+Tokens for which randomness is rejected are set aside, with the false discovery rate controlled separately
+per range of lengths, as longer tokens are easier to judge; the others are flagged. Among letters alone the
+tests look where words differ from chance: at the most frequent letters and at vowels.
 """
 
 from __future__ import annotations
@@ -27,7 +29,12 @@ RATE = 0.05
 LENGTHS = [20, 32, 48, 64]
 STEPS, MOST_BINS = 20, 400
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+# The first encoding that fits. Letters or digits alone are no hexadecimal numbers.
 ENCODINGS = [
+    ("base10", "^[0-9]+$", DIGITS),
+    ("base26", "^[a-z]+$", LOWER),
+    ("base26", "^[A-Z]+$", UPPER),
+    ("base52", "^[A-Za-z]+$", UPPER + LOWER),
     ("hex", "^[0-9a-f]+$", DIGITS + "abcdef"),
     ("hex", "^[0-9A-F]+$", DIGITS + "ABCDEF"),
     ("base32", "^[A-Z2-7]+$", UPPER + "234567"),
@@ -37,6 +44,10 @@ ENCODINGS = [
     ("base64url", "^[0-9A-Za-z_-]+$", UPPER + LOWER + DIGITS + "-_"),
     ("base64", "^", UPPER + LOWER + DIGITS + "+/-_="),
 ]
+# The vowels, and the ten letters that European languages use most.
+VOWELS, FREQUENT = "aeiouAEIOU", "etaoinsrhlETAOINSRHL"
+# Matches of a text that are placed one after the other; a text with more is placed chunk by chunk.
+CHUNK = 256
 
 
 def _found(kind: str, text: Column, sign: Column, pattern: str, value_group: int = 0) -> Column:
@@ -48,19 +59,41 @@ def _found(kind: str, text: Column, sign: Column, pattern: str, value_group: int
     )
     kind_of = "struct<at: int, spans: array<struct<kind: string, start: int, end: int, value: string>>>"
 
+    def step(acc: Column, m: Column) -> Column:
+        start = acc["at"] + F.length(m["g"])
+        end = start + F.length(m["w"])
+        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), m["v"].alias("value"))
+        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+
     def spans(p: Column) -> Column:
         zipped = F.arrays_zip(
             F.slice(p["gaps"], F.lit(1), F.size(p["whole"])).alias("g"), p["whole"].alias("w"), p["value"].alias("v")
         )
-
-        def step(acc: Column, m: Column) -> Column:
-            start = acc["at"] + F.length(m["g"])
-            end = start + F.length(m["w"])
-            span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), m["v"].alias("value"))
-            return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
-
         zero = F.struct(F.lit(0).alias("at"), F.array().alias("spans")).cast(kind_of)
-        return F.aggregate(zipped, zero, step, lambda acc: acc["spans"])
+        # Offsets within a chunk, and then where each chunk begins, so that the work stays linear.
+        last = F.floor((F.size(p["whole"]) - 1) / CHUNK).cast("int")
+        chunks = F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+            lambda c: F.aggregate(F.slice(zipped, c * CHUNK + 1, F.lit(CHUNK)), zero, step),
+        )
+        begins = F.aggregate(
+            chunks,
+            F.array(F.lit(0)),
+            lambda acc, c: F.concat(acc, F.array(F.element_at(acc, -1) + c["at"])),
+        )
+        return F.flatten(
+            F.zip_with(
+                chunks,
+                F.slice(begins, F.lit(1), F.size(chunks)),
+                lambda c, at: F.transform(
+                    c["spans"],
+                    lambda x: F.struct(
+                        x["kind"].alias("kind"), (x["start"] + at).alias("start"), (x["end"] + at).alias("end"),
+                        x["value"].alias("value"),
+                    ),
+                ),
+            )
+        )
 
     # The transform binds the three regular expressions to one evaluation each.
     made = F.flatten(F.transform(F.array(parts), spans))
@@ -74,7 +107,7 @@ def _normal_tail(z: Column) -> Column:
 
 
 def _tests(token: Column) -> Column:
-    """``(encoding, length, p)`` of a token: the smallest of three p-values, times three.
+    """``(encoding, length, p)`` of a token: four tests joined by Fisher's method.
 
     Trailing ``=`` is padding. p is small when the token does not look like random characters.
     """
@@ -87,10 +120,27 @@ def _tests(token: Column) -> Column:
 
     def chars(s: Column) -> Column:
         marks = F.filter(F.split(s["body"], ""), lambda c: c != "")
+        words = s["encoding"].isin("base26", "base52")
+        half = F.length(s["alphabet"]) / 2
+
+        def of(listed: str) -> Column:
+            """Whether each character is in one class: that of the list for words, else the upper half."""
+            return F.transform(
+                marks,
+                lambda c: F.when(words, F.instr(F.lit(listed), c) > 0)
+                .otherwise(F.instr(s["alphabet"], c) > half)
+                .cast("int"),
+            )
+
+        upper = F.floor(F.length(s["alphabet"]) - half) / F.length(s["alphabet"])
         return F.struct(
             s["encoding"].alias("encoding"),
+            words.alias("words"),
             F.length(s["alphabet"]).cast("double").alias("k"),
             F.transform(marks, lambda c: F.instr(s["alphabet"], c)).alias("x"),
+            of(VOWELS).alias("high"),
+            of(FREQUENT).alias("frequent"),
+            F.when(words, F.lit(len(FREQUENT) / 52)).otherwise(upper).alias("share"),
         )
 
     def judged(s: Column) -> Column:
@@ -104,7 +154,7 @@ def _tests(token: Column) -> Column:
         chi, df = squares * k / n - n, k - 1
         # Wilson and Hilferty: the cube root of chi-squared is close to normal.
         uniform = (F.pow(F.greatest(chi, zero) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-        high = F.transform(x, lambda v: (v > k / 2).cast("int"))
+        high = s["high"]
         n1 = F.aggregate(high, zero, lambda acc, v: acc + v)
         n2 = n - n1
         pairs = F.sequence(F.lit(1), F.size(x) - 1)
@@ -113,22 +163,30 @@ def _tests(token: Column) -> Column:
         )
         mean = 2 * n1 * n2 / n + 1
         spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / F.greatest(n - 1, F.lit(1.0)), F.lit(1e-9)))
-        # One half alone cannot alternate; it is the extreme of the runs test.
+        # One class alone cannot alternate; it is the extreme of the runs test.
         along = F.when((n1 == 0) | (n2 == 0), F.lit(8.0)).otherwise(F.abs(runs - mean) / spread)
+        # Chi-squared over two classes, as its signed root: words have too many frequent letters, never too few.
+        expected = n * s["share"]
+        root = (F.aggregate(s["frequent"], zero, lambda acc, v: acc + v) - expected) / F.sqrt(expected * (1 - s["share"]))
+        classes = F.when(s["words"], _normal_tail(root)).otherwise(2 * _normal_tail(F.abs(root)))
         centre = F.aggregate(x, zero, lambda acc, v: acc + v) / n
         var = F.aggregate(x, zero, lambda acc, v: acc + (v - centre) * (v - centre))
         lagged = F.aggregate(
             pairs, zero, lambda acc, i: acc + (F.get(x, i) - centre) * (F.get(x, i - 1) - centre)
         )
-        serial = F.when(var > 0, F.abs(lagged / var + 1 / n) * F.sqrt(n)).otherwise(F.lit(8.0))
-        smallest = F.least(_normal_tail(uniform), 2 * _normal_tail(along), 2 * _normal_tail(serial))
-        return F.struct(
-            s["encoding"].alias("encoding"),
-            n.cast("int").alias("length"),
-            F.least(F.lit(1.0), 3 * smallest).alias("p"),
-        )
+        serial = F.when(var > 0, F.abs(F.try_divide(lagged, var) + 1 / n) * F.sqrt(n)).otherwise(F.lit(8.0))
+        tests = F.array(_normal_tail(uniform), 2 * _normal_tail(along), classes, 2 * _normal_tail(serial))
+        half = F.aggregate(tests, zero, lambda acc, p: acc - F.log(F.least(F.greatest(p, F.lit(1e-12)), F.lit(1.0))))
+        return F.struct(s["encoding"].alias("encoding"), n.cast("int").alias("length"), half.alias("half"))
+
+    def joined(s: Column) -> Column:
+        """The upper tail of chi-squared with two degrees of freedom a test, at twice ``half``."""
+        h = s["half"]
+        tail = F.exp(-h) * (1 + h + h * h / 2 + h * h * h / 6)
+        return F.struct(s["encoding"], s["length"], F.least(tail, F.lit(1.0)).alias("p"))
 
-    return F.transform(F.transform(F.array(first), chars), judged)[0]
+    steps = F.transform(F.transform(F.transform(F.array(first), chars), judged), joined)
+    return steps[0].cast("struct<encoding: string, length: int, p: double>")
 
 
 def _stratum(length: Column) -> Column:
@@ -160,8 +218,8 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ra
     """``(doc_id, base, added)``: spans ``(kind, start, end)`` of every row of ``docs``.
 
     ``base`` has the known forms, by start, then kind as listed; ``added`` the tokens of 20 and more
-    characters with letters and digits for which randomness is not rejected and which overlap no base
-    span, of kind ``random``. The text is read once; candidates go through a written table, and only
+    characters for which randomness is not rejected and which overlap no base span, of kind ``random``.
+    Every such token is tested and counted, whatever its characters. The text is read once; candidates go through a written table, and only
     counts are shuffled. Null and empty texts have no spans, null ids and repeated rows keep a row
     each, an empty table gives an empty result, other columns are ignored.
     """
@@ -173,7 +231,6 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ra
     access = _found("access", t, t.contains("AKIA"), ACCESS)
     hexes = _found("hex", t, t.rlike("[0-9a-f]{32}"), HEX)
     tokens = _found("random", t, t.rlike(TOKEN), TOKEN)
-    tokens = F.filter(tokens, lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
     found = rows.select(
         "doc_id",
         assign.alias("assign"),
