@@ -1,13 +1,14 @@
 """A training corpus from raw documents, stage by stage.
 
 Every stage reads what its predecessor kept, written as Parquet in between, and all but the last return
-the columns of ``documents``.
+the columns of ``documents``. In every stage null and empty texts are documents without words, rows that
+repeat id and text are judged alike, null ids and null sources are values like any other, an empty table
+gives an empty result, and further columns may have any names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from textmine.llm import anchors, decontaminate, lines, mixing, toxicity
 from textmine.sources.scratch import written
@@ -25,19 +26,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that stand in more than a tenth of their source's distinct texts.
 
-    Copies of a document count once, so a large group of copies is not boilerplate to itself. Every
-    document stays, and its ``n_chars`` follows its text.
+    Every document stays, and its ``n_chars`` follows its text.
     """
-    split = lines.split_lines(F.col("text"))
-    cut = lines.drop_boilerplate(docs, F.col("source"), split, "doc_id", distinct=True)
-    shorter = F.size("kept") < F.size("lines")
-    text = F.when(shorter, F.array_join("kept", "\n")).otherwise(F.col("text"))
-    length = F.when(shorter, F.length(F.array_join("kept", "\n")).cast("long")).otherwise(F.col("n_chars"))
-    return cut.withColumns({"text": text, "n_chars": length}).select(*docs.columns)
+    return lines.drop_boilerplate_lines(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group linked by SimHash; see ``op4``."""
+    """One document, that with the smallest id, of each group linked by SimHash; see ``op4``.
+
+    Documents without words form one group, so one of them stays.
+    """
     return anchors.remove_near_copies(docs)
 
 
@@ -47,8 +45,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, numbered in ``copy``."""
-    return mixing.repeated(mixing.mixed(docs))
+    """Each document as often as the mix takes it, numbered in ``copy``; sources without words give none."""
+    return mixing.mixture(docs)
 
 
 STAGES = [
@@ -59,7 +57,7 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
-# The first and third stage (language models, fingerprints) have no SQL form; tests run them by brute force.
+# Language models and fingerprints have no SQL form; tests compare every stage with a plain version.
 ORACLE_SQL = None
 
 
