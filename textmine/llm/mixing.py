@@ -80,6 +80,7 @@ def mixed(
     size = F.size(words(F.col(text))).cast("long")
     sized = docs.select(F.col(source).alias("source"), size.alias("size"))
     targets = written(source_targets(sized, weights, share, most), "targets")
+    names = result_names(docs)
     taken = docs.withColumns({name: F.lit(None) for name in names})
     own, own_size, own_target = (fresh(taken, f"_mix_{n}") for n in ("source", "size", "target"))
     targets = targets.toDF(own, own_size, own_target)

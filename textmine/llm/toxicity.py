@@ -427,9 +427,11 @@ def remove_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
     """The rows of ``docs``, all columns, whose text does not score as toxic; see ``toxicity``.
 
     The rejected are few, so only their keys are gathered, and rows with the same id and text go
-    together.
+    together. Where labels of one class, or none, teach nothing, all rows stay.
     """
     ratios, curve = fit(docs, labels, doc_id, text, **options)
+    if curve.slope == 0:
+        return docs
     keyed = docs.select(F.col(doc_id).alias("_id"), text_hash(F.col(text)).alias("_hash"), F.col(text).alias("text"))
     scored = evidence(keyed, ratios, [curve.shape], ["_id", "_hash"])
     gone = scored.where(curve.of(F.col("evidence")[0]) >= 0.5).select("_id", "_hash").distinct()
