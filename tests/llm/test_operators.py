@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import brute
@@ -41,6 +42,14 @@ def test_contamination(hard_docs, hard_rows, items, limit):
     assert any(r[2] for r in theirs) and any(len(r[3]) > 1 for r in theirs)
 
 
+def test_no_words_are_shuffled_per_window(hard_docs, items, monkeypatch):
+    """The join ships places and hashes; the hash alone decides nothing."""
+    hits = decontaminate.find_hits(hard_docs, decontaminate.item_windows(items[1]), limit=0)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    windows = next(line for line in plan.split("\n") if "xxhash64(slice(" in line)
+    assert "Project" in windows and not re.search(r"[\[ ]w#\d+,", windows.split("xxhash64(slice(")[0])
+
+
 def test_contamination_of_nothing(no_docs, hard_docs, items):
     assert decontaminate.contamination(no_docs, items[1]).count() == 0
     none = items[1].where("false")
@@ -300,6 +309,39 @@ def test_damage_is_found(pages, tmp_path):
         warc.read_archive(archive).collect()
 
 
+def test_archive_stands_alone(spark, tmp_path):
+    """What is in the folder is enough, nothing unfinished stays, and no manifest means no archive."""
+    rows = [(f"page-{k:04d}", f"http://h/{k}", f"<p>{k}</p>" * (k % 9 * 30)) for k in range(300)]
+    rows += [(f"copy-{k:04d}", None, rows[k][2]) for k in range(300)] + [(None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string").repartition(6)
+    folder = f"file://{tmp_path}/a"
+    with pytest.raises(ValueError, match="no committed archive"):
+        warc.open_archive(spark, folder)
+    # An attempt that was killed left half a file.
+    left = tmp_path / "a" / "_unfinished"
+    left.mkdir(parents=True)
+    (left / "shard-00000000-00000.warc.gz.dead").write_bytes(b"half")
+    warc.write_archive(pages, folder, shard_bytes=50_000, file_bytes=20_000)
+    assert not left.exists() and (tmp_path / "a" / "manifest" / "_SUCCESS").exists()
+    archive = warc.open_archive(spark, folder)
+    files = {r.file for r in archive.manifest.collect()}
+    assert files == {p.name for p in (tmp_path / "a").glob("*.warc.gz")} and len(files) > 3
+    same(warc.read_archive(archive, "string", payload=False).drop("url").collect(), expected_records(rows))
+
+
+def test_ranges_hold_equal_bytes(spark, tmp_path):
+    """Four fifths of the pages revisit one payload, the last fifth stores everything."""
+    rng = random.Random(5)
+    common = "c" * 2000
+    rows = [(k, "u", common) for k in range(8000)]
+    rows += [(8000 + k, "u", "".join(rng.choices("abcdefgh ", k=3000))) for k in range(2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    archive = warc.write_archive(pages, f"file://{tmp_path}/b", shard_bytes=800_000, file_bytes=10**9)
+    stored = warc.read_archive(archive).groupBy(F.lit(1)).count().first()[1]
+    sizes = sorted(r.bytes for r in archive.manifest.collect())
+    assert stored == 10000 and len(sizes) > 8 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
 # 6 PII -----------------------------------------------------------------------------------------------
 
 PII_TEXTS = [

@@ -77,9 +77,17 @@ def find_hits(
     placed = placed.where(F.col("at").isNotNull())
     gram = F.slice("w", F.col("at"), F.col("n"))
     test = windows.select("h", F.col("gram").alias("test_gram"), "items")
-    small = sum(row["bytes"] for row in sizes) <= limit
-    test = F.broadcast(test) if small else test.hint("merge")
-    hits = placed.join(test, (F.xxhash64(gram) == test["h"]) & (gram == F.col("test_gram")))
+    if sum(row["bytes"] for row in sizes) <= limit:
+        hits = placed.join(F.broadcast(test), (F.xxhash64(gram) == test["h"]) & (gram == F.col("test_gram")))
+    else:
+        # Of windows only places and hashes are shuffled; what meets a test window is verified on the text,
+        # which travels once per document.
+        hashed = placed.select("_id", "_hash", "n", "at", F.xxhash64(gram).alias("h"))
+        met = hashed.join(test.hint("merge"), "h").withColumnsRenamed({"_id": "i", "_hash": "ih"})
+        texts = docs.select(F.col(doc_id).alias("_id"), text_hash(F.col(text)).alias("_hash"), F.col(text).alias("t"))
+        same = F.col("_id").eqNullSafe(F.col("i")) & (F.col("_hash") == F.col("ih"))
+        read = met.join(texts, same).withColumn("w", normalised_words(F.col("t")))
+        hits = read.where(F.slice("w", F.col("at"), F.col("n")) == F.col("test_gram"))
     return (
         hits.select("_id", "_hash", F.struct((F.col("at") - 1).alias("pos"), "n").alias("span"), "items")
         .groupBy("_id", "_hash")

@@ -1,9 +1,10 @@
 """Deterministic sharded WARC writer, and the reader of what it wrote.
 
-Pages are dealt into ranges of their id, sorted, and written as gzip members to files that roll over by
-compressed size. Headers, digests and record ids follow from the rows alone. A file is written under a
-temporary name and moved to a name that depends on its range only, so a task that runs again replaces
-its own files by equal ones; what counts are the files of the manifest, which is written last.
+Pages are dealt into ranges of their id that store about as many bytes each, sorted, and written as gzip
+members to files that roll over by compressed size. Headers, digests and record ids follow from the rows
+alone. A file is written under a temporary name and moved to a name that depends on its range only, so a
+task that runs again replaces its own files by equal ones. What counts are the files of the manifest, which
+is written last, into the archive's folder: an archive without one is not there.
 
 Folders are opened through ``pyarrow.fs``: local and shared mounts, HDFS, S3 and GCS by their URI.
 """
@@ -18,19 +19,25 @@ from collections.abc import Iterator
 from typing import NamedTuple
 from urllib.parse import quote
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmine.llm.common import range_bucket
 from textmine.operators.lookup import lookup_join
 from textmine.sources.scratch import scratch_path, written
 
 MIN_REVISIT_BYTES = 1000
 SHARD_BYTES = 32 * 1024 * 1024
 FILE_BYTES = 32 * 1024 * 1024
-SAMPLES_PER_SHARD = 32
+# Ranges, and rows of the sample that cuts them, at most; a range of a very large archive holds more bytes.
+MOST_SHARDS = 20_000
+SAMPLES_PER_SHARD, MOST_SAMPLES = 256, 1_000_000
+# What a record stores besides its payload, about.
+RECORD_BYTES = 700
 CHUNK = 1 << 20
 # Fixed values of the format.
 VERSION = b"WARC/1.1\r\n"
@@ -42,14 +49,18 @@ RECORDS = "page_id {}, payload_bytes long, payload_digest string, record_type st
 
 
 class Archive(NamedTuple):
-    """A committed archive: its folder, and the manifest as a stored table of files."""
+    """A committed archive: its folder, and the manifest in it as a table of files."""
 
     folder: str
     manifest: DataFrame
 
 
+def _uri(folder: str) -> str:
+    return folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+
+
 def _open(folder: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+    return pafs.FileSystem.from_uri(_uri(folder))
 
 
 def _record_id(page_id, digest: str) -> str:
@@ -105,8 +116,8 @@ class _Shard:
     def write(self, row: dict) -> None:
         if self.out is None:
             self.name = f"shard-{self.number:08d}-{self.part:05d}.warc.gz"
-            self.fs.create_dir(f"{self.root}/_temporary", recursive=True)
-            self.temporary = f"{self.root}/_temporary/{self.name}.{uuid.uuid4().hex}"
+            self.fs.create_dir(f"{self.root}/_unfinished", recursive=True)
+            self.temporary = f"{self.root}/_unfinished/{self.name}.{uuid.uuid4().hex}"
             self.out = self.fs.open_output_stream(self.temporary, compression=None)
             self.size, self.records, self.digest = 0, 0, hashlib.sha256()
             body = f"software: textmine\r\nformat: WARC File Format 1.1\r\nshard: {self.number}\r\n".encode()
@@ -167,6 +178,41 @@ def _write_shards(folder: str, date: str, file_bytes: int):
     return task
 
 
+def _bounds(stored: DataFrame, total: int, rows: int, shard_bytes: int) -> list:
+    """First ids of all ranges but the first, so that ranges store about equal numbers of bytes.
+
+    ``stored`` has ``(page_id, stored)``. The sample is chosen by the hash of the id, so equal tables give
+    equal ranges, and its bytes are added up in the order of ids.
+    """
+    shards = min(MOST_SHARDS, -(-total // shard_bytes))
+    if shards <= 1:
+        return []
+    wanted = min(SAMPLES_PER_SHARD * shards, MOST_SAMPLES)
+    share = min(1.0, wanted / max(rows, 1))
+    picked = stored.where(F.pmod(F.xxhash64("page_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    weights = picked.where("page_id is not null").groupBy("page_id").agg(F.sum("stored").alias("stored"))
+    # About as many rows as wanted.
+    sample = sorted((r["page_id"], r["stored"]) for r in weights.collect())
+    if not sample:
+        return []
+    sums = np.cumsum([weight for _, weight in sample])
+    cuts = np.searchsorted(sums, sums[-1] * np.arange(1, shards) / shards, side="right")
+    return sorted({sample[k][0] for k in cuts if 0 < k < len(sample)})
+
+
+def _range_of(bounds: list):
+    """The number of a range from the id, which must not be null."""
+    words = bool(bounds) and isinstance(bounds[0], str)
+    edges = np.array(bounds, object if words else np.int64)
+
+    def numbers(ids: pd.Series) -> pd.Series:
+        if not len(edges):
+            return pd.Series(np.zeros(len(ids), np.int32))
+        return pd.Series(np.searchsorted(edges, ids.to_numpy(edges.dtype), side="right").astype(np.int32))
+
+    return F.pandas_udf(numbers, "int")
+
+
 def write_archive(
     pages: DataFrame,
     folder: str,
@@ -181,12 +227,17 @@ def write_archive(
     """Write one record per page and commit the manifest.
 
     Of pages with equal payloads of at least ``min_revisit_bytes`` the largest id is a response, the
-    others revisit it. Null html is an empty payload, a null url becomes ``urn:page:ID``. A null id is
-    smaller than any other and gets no id header; payloads found under null ids only are all
-    responses. Rows that repeat the largest id are all responses. An empty table writes an empty
-    manifest; other columns are ignored. ``date`` stands in every record, so equal input gives equal
+    others revisit it. Ids are whole numbers or strings. Null html is an empty payload, a null url becomes
+    ``urn:page:ID``. A null id is smaller than any other and gets no id header; payloads found under null
+    ids only are all responses. Rows that repeat the largest id are all responses. An empty table writes an
+    empty manifest; other columns are ignored. ``date`` stands in every record, so equal input gives equal
     files: ranges are cut at ids chosen by their hash, not by a random sample.
+
+    A new archive in the folder of an old one takes its place when its manifest does.
     """
+    spark = pages.sparkSession
+    kind = pages.schema[page_id].dataType.simpleString()
+    lowest = "" if kind == "string" else {"int": -(2**31), "bigint": -(2**63)}[kind]
     rows = pages.select(
         F.col(page_id).alias("page_id"),
         F.col(url).cast("string").alias("url"),
@@ -197,29 +248,49 @@ def write_archive(
         F.count("*").alias("n"), F.max("page_id").alias("latest")
     )
     latest = written(groups.where(F.col("n") > 1).select("digest", "latest"), "latest")
-    total = known.agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes")).first()
-    shards = -(-(total["bytes"] or 0) // shard_bytes)
-    # About the same number of sampled ids falls into each range, whatever the partitions.
-    share = min(1.0, SAMPLES_PER_SHARD * shards / max(total["rows"], 1))
-    picked = known.where(F.pmod(F.xxhash64("page_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    sample = sorted(r[0] for r in picked.where("page_id is not null").select("page_id").distinct().collect())
-    bounds = sample[SAMPLES_PER_SHARD::SAMPLES_PER_SHARD]
-    found = lookup_join(rows, latest, ["digest"], 128 * latest.count(), ["page_id"], "left")
-    refers = F.when(F.coalesce(F.col("page_id") != F.col("latest"), F.col("latest").isNotNull()), F.col("latest"))
-    records = found.select(
-        range_bucket(F.col("page_id"), bounds).cast("long").alias("shard"),
+    latest_bytes = 128 * latest.count()
+
+    def with_revisits(table: DataFrame) -> DataFrame:
+        found = lookup_join(table, latest, ["digest"], latest_bytes, ["page_id"], "left")
+        refers = F.when(F.coalesce(F.col("page_id") != F.col("latest"), F.col("latest").isNotNull()), F.col("latest"))
+        return found.withColumn("refers_to", refers).drop("latest")
+
+    kept = F.when(F.col("refers_to").isNull(), F.col("bytes")).otherwise(0) + RECORD_BYTES
+    stored = with_revisits(known).select("page_id", kept.alias("stored"))
+    total = stored.agg(F.count("*").alias("rows"), F.sum("stored").alias("bytes")).first()
+    bounds = _bounds(stored, total["bytes"] or 0, total["rows"], shard_bytes)
+    records = with_revisits(rows).select(
+        # A null id lies in the first range, and so does the smallest id there is.
+        _range_of(bounds)(F.coalesce("page_id", F.lit(lowest).cast(kind))).cast("long").alias("shard"),
         "page_id",
         "url",
-        F.when(refers.isNull(), F.col("payload")).alias("payload"),
+        F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload"),
         "digest",
         "bytes",
-        refers.alias("refers_to"),
+        "refers_to",
     )
-    ordered = records.repartition(len(bounds) + 1, "shard").sortWithinPartitions(
+    # A task of its own for each range.
+    ordered = records.repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions(
         "shard", "page_id", "digest", "url"
     )
-    files = ordered.mapInArrow(_write_shards(folder, date, file_bytes), MANIFEST)
-    return Archive(folder, written(files, "manifest"))
+    files = written(ordered.mapInArrow(_write_shards(folder, date, file_bytes), MANIFEST), "archive-files")
+    files.coalesce(1).write.mode("overwrite").json(f"{_uri(folder)}/manifest")
+    # What attempts that did not finish have left.
+    fs, root = _open(folder)
+    if fs.get_file_info(f"{root}/_unfinished").type == pafs.FileType.Directory:
+        fs.delete_dir(f"{root}/_unfinished")
+    return open_archive(spark, folder)
+
+
+def open_archive(spark: SparkSession, folder: str) -> Archive:
+    """The archive in a folder; one without a committed manifest raises."""
+    try:
+        manifest = spark.read.schema(MANIFEST).json(f"{_uri(folder)}/manifest")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        raise ValueError(f"no committed archive at {folder}") from error
+    return Archive(folder, manifest)
 
 
 class _Members:
