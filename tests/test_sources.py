@@ -176,3 +176,26 @@ def test_remove_scratch(spark):
 
 def test_describe_without_counts_reads_nothing(frame):
     assert [(r["name"], r["present"]) for r in op.describe(frame).collect()] == [("text", None), ("cat", None)]
+
+
+@pytest.mark.parametrize("kind", ["parquet", "json", "csv"])
+def test_overwrite_what_is_read(spark, tmp_path, kind):
+    """A table can be changed in place; a write that fails leaves the old one and nothing else."""
+    path = f"file://{tmp_path}/table"
+    write = {"parquet": sources.write_parquet, "json": sources.write_json, "csv": sources.write_csv}[kind]
+    rows = [(k, f"text {k}") for k in range(50)]
+    write(spark.createDataFrame(rows, "id long, text string"), path)
+
+    def read():
+        if kind == "csv":
+            return sources.read_csv(spark, path, "id long, text string")
+        return spark.read.schema("id long, text string").format(kind).load(path)
+
+    write(read().where("id < 30").withColumn("text", F.upper("text")), path)
+    expected = [(k, f"TEXT {k}") for k in range(30)]
+    assert sorted(map(tuple, read().collect())) == expected
+    broken = read().withColumn("text", F.when(F.col("id") == 29, F.raise_error(F.lit("lost"))).otherwise(F.col("text")))
+    with pytest.raises(Exception, match="lost"):
+        write(broken, path)
+    assert sorted(map(tuple, read().collect())) == expected
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["table"]

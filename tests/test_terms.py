@@ -110,3 +110,33 @@ def test_every_term_is_kept_by_default(spark):
     assert (cut.n_terms, cut.left_out) == (100_000, 200_000)
     expected = sorted(f"term{i}" for i in range(n))[:100_000]
     assert cut.table.agg(F.max("term")).first()[0] == expected[-1]
+
+
+def test_long_lists_of_stop_words(spark, corpus, monkeypatch):
+    """A hundred thousand words leave the plan as it is, and give what a short list gives."""
+    from textmine.operators import terms
+
+    few = ["Water", "common", "leaf"]
+    many = few + [f"absent{k}" for k in range(100_000)]
+    keys = ("doc_id", "term", "tf")
+
+    def counted(words):
+        return sorted(tuple(r) for r in op.term_counts(corpus, "doc_id", stop_words=words).select(*keys).collect())
+
+    assert counted(many) == counted(few) and not any(t == "water" for _, t, _ in counted(many))
+    plans = [
+        len(op.term_counts(corpus, "doc_id", stop_words=w)._jdf.queryExecution().optimizedPlan().toString())
+        for w in (many[:2000], many)
+    ]
+    assert abs(plans[0] - plans[1]) < 50
+    statistics = [op.fit_statistics(corpus, min_df=2, stop_words=w) for w in (few, many)]
+    assert statistics[0].n_terms == statistics[1].n_terms and statistics[0].docs == statistics[1].docs
+    monkeypatch.setattr(terms, "LISTED_WORDS", 2)
+    scores = [
+        {r["doc_id"]: r["scores"] for r in op.score(corpus, op.fit_models(s), "doc_id", stop_words=w).collect()}
+        for s, w in zip(statistics, (["zzz"], few))
+    ]
+    joined = {r["doc_id"]: r["scores"] for r in op.score(corpus, op.fit_models(statistics[1]), "doc_id").collect()}
+    assert joined.keys() == scores[1].keys() == scores[0].keys()
+    for k in joined:
+        assert joined[k] == pytest.approx(scores[1][k], abs=1e-12)

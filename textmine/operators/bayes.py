@@ -24,7 +24,7 @@ from textmine.functions.splits import TEST_FOLD
 from textmine.functions.tokens import content_words
 from textmine.operators.evaluation import confusion_long, metrics
 from textmine.operators.lookup import broadcastable, lookup_join, salts_for
-from textmine.operators.terms import MIN_DF, idf, term_counts, vocabulary_cut
+from textmine.operators.terms import MIN_DF, idf, is_long_list, term_counts, vocabulary_cut, without_words
 from textmine.sources.scratch import written
 from textmine.sources.tables import collect_small
 
@@ -357,8 +357,14 @@ def score(
     held_out = corpus.where(F.col("fold").isin(holdouts))
     if broadcastable(size):
         # No row moves, and adding up occurrences costs less than counting them first.
-        tokens = F.explode_outer(content_words("text", stop_words)).alias("term")
-        rows = held_out.select(*key, "cat", "fold", tokens, F.lit(1).cast("long").alias("tf"))
+        if is_long_list(stop_words):
+            # A row without a term keeps documents of stop words only.
+            tokens = F.explode(F.concat(F.array(F.lit(None).cast("string")), content_words("text", [])))
+        else:
+            tokens = F.explode_outer(content_words("text", stop_words))
+        rows = held_out.select(*key, "cat", "fold", tokens.alias("term"), F.lit(1).cast("long").alias("tf"))
+        if is_long_list(stop_words):
+            rows = without_words(rows, stop_words)
         found = lookup_join(rows, table, ["fold", "term"], size, spread_by=key, how="left")
     else:
         rows = term_counts(held_out, *key, "cat", "fold", stop_words=stop_words)

@@ -19,6 +19,8 @@ from textmine.sources.tables import copy_to
 
 MIN_DF = 5
 FEW_TIES = 10_000
+#: Stop words that stand in the plan. Longer lists are tables that counted terms are looked up in.
+LISTED_WORDS = 1000
 
 
 def term_counts(
@@ -28,11 +30,28 @@ def term_counts(
     document_rows: bool = False,
 ) -> DataFrame:
     """Long ``(*keep, term, tf)``; with ``document_rows`` each document adds a row without a term."""
-    counted = count_text_terms("text", stop_words)
+    listed = [] if is_long_list(stop_words) else stop_words
+    counted = count_text_terms("text", listed)
     if document_rows:
         document = F.expr("array(named_struct('term', cast(null AS string), 'tf', 0L))")
         counted = F.concat(document, counted)
-    return corpus.select(*keep, F.inline(counted))
+    rows = corpus.select(*keep, F.inline(counted))
+    return without_words(rows, stop_words) if is_long_list(stop_words) else rows
+
+
+def is_long_list(stop_words: Sequence[str] | None) -> bool:
+    return stop_words is not None and len(stop_words) > LISTED_WORDS
+
+
+def without_words(rows: DataFrame, words: Sequence[str]) -> DataFrame:
+    """Rows whose ``term`` is none of ``words``, which are in lower case or made so; null terms stay.
+
+    The words are a table, so the plan is the same for a hundred thousand of them as for one.
+    """
+    distinct = sorted({word.lower() for word in words})
+    table = copy_to(rows.sparkSession, [(word,) for word in distinct], "term string")
+    size = sum(64 + len(word.encode()) for word in distinct)
+    return lookup_join(rows, table, ["term"], size, spread_by=rows.columns, how="left_anti")
 
 
 def document_frequency(corpus: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:

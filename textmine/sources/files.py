@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -138,9 +140,8 @@ def write_csv(
     max_records_per_file: int = 1_000_000,
 ) -> None:
     """Header, every value quoted, null as ``NULL_MARK``. Bounded files keep a multi-line read parallel."""
-    (
-        df.write.mode(mode)
-        .option("header", True)
+    writer = (
+        df.write.option("header", True)
         .option("sep", sep)
         .option("quoteAll", True)
         .option("quote", '"')
@@ -152,8 +153,8 @@ def write_csv(
         # The defaults trim values on writing.
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+    _saved(df, writer.format("csv"), path, mode)
 
 
 def read_parquet(
@@ -163,8 +164,39 @@ def read_parquet(
     return _registered(reader.parquet(path), name)
 
 
+def _saved(df: DataFrame, writer: DataFrameWriter, path: str, mode: str) -> None:
+    """Save; ``overwrite`` swaps a complete new folder for the old one, which ``df`` may still read.
+
+    The new table is written beside ``path`` and takes its place when it is whole: a write that fails leaves
+    the old table, and no reader finds a half-written one. Between the two renames of the swap there is for a
+    moment no table; if the second fails, the old one is put back.
+    """
+    if mode != "overwrite":
+        writer.mode(mode).save(path)
+        return
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex
+    place, staged, old = (f"{path.rstrip('/')}{end}" for end in ("", f".staged-{mark}", f".old-{mark}"))
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    files = of(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        writer.mode("error").save(staged)
+    except Exception:
+        files.delete(of(staged), True)
+        raise
+    moved = files.exists(of(place)) and files.rename(of(place), of(old))
+    if files.exists(of(place)) or not files.rename(of(staged), of(place)):
+        if moved:
+            files.rename(of(old), of(place))
+        raise OSError(f"{place} could not be replaced; the new table is at {staged}")
+    if moved:
+        files.delete(of(old), True)
+    spark.catalog.refreshByPath(place)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
+    """``overwrite`` replaces the table when the new one is whole, and may read what it replaces."""
+    _saved(df, df.write.format("parquet"), path, mode)
 
 
 def read_json(
@@ -175,7 +207,7 @@ def read_json(
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines. Give vector columns as arrays or long rows: JSON has no vector type."""
-    df.write.mode(mode).json(path)
+    _saved(df, df.write.format("json"), path, mode)
 
 
 def writable_features(df: DataFrame, *vectors: str) -> DataFrame:
