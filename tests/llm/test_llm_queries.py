@@ -1,5 +1,6 @@
 """Registered queries next to their SQL, and the pipeline against a plain version of its stages."""
 
+import hashlib
 from pathlib import Path
 
 import brute
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from textmine.checks.compare import differences, duckdb_tables
-from textmine.llm import mixing, toxicity
+from textmine.llm import mixing, simhash, toxicity
 from textmine.llm.oracles import oracles
 from textmine.llm.queries import registered
 
@@ -40,6 +41,79 @@ def test_query(spark, tables, name):
         assert df.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
 
 
+def _texts(spark):
+    return {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+
+
+def _digest(spans):
+    return hashlib.sha256(",".join(f"{kind}:{a}:{b}" for kind, a, b in spans).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name,of,kinds", [
+    ("op6_pii", brute.personal_data, ["email", "ip", "card", "phone"]),
+    ("op8_secrets", brute.secrets, ["assign", "access", "hex"]),
+])
+def test_span_columns(spark, name, of, kinds):
+    """Counts, digest and list of the query's own rows against the plain patterns."""
+    texts = _texts(spark)
+    rows = registered()[name](spark, FOLDER).collect()
+    assert {r.doc_id for r in rows} == set(texts) and len(rows) == len(texts)
+    ordered = sorted(texts)
+    random = dict(zip(ordered, brute.random_spans([texts[k] for k in ordered])))
+    for r in rows:
+        base = of(texts[r.doc_id])
+        for kind in kinds:
+            assert r[f"n_{kind}"] == sum(k == kind for k, _, _ in base)
+        assert r.base_sha256 == _digest(base)
+        listed = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in r.spans.split(",") if x)]
+        assert [x for x in listed if x[0] in kinds] == base
+        if name == "op8_secrets":
+            assert [x for x in listed if x[0] == "random"] == random[r.doc_id]
+
+
+def test_link_columns(spark):
+    texts = _texts(spark)
+    prints = {k: brute.fingerprint(t) for k, t in texts.items()}
+    roots = brute.groups(set(prints.values()), lambda a, b: (a ^ b).bit_count() <= 3)
+    least = {}
+    for k in sorted(texts):
+        least.setdefault(roots[prints[k]], k)
+    rows = registered()["op4_simhash_links"](spark, FOLDER).collect()
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in rows} == {
+        (k, f"{fp:016x}", least[roots[fp]]) for k, fp in prints.items()
+    }
+    assert len(rows) == len(texts)
+
+
+def test_fingerprint_columns(spark):
+    """Edited texts by hand; likeness from fingerprints that the operator gives for those texts alone."""
+    texts = _texts(spark)
+    ordered = sorted(texts)
+    edited = {}
+    for n, k in enumerate(ordered):
+        text, after = texts[k] or "", texts[ordered[(n + 1) % len(ordered)]] or ""
+        cut = len(text) // 4
+        edited[k] = text[: len(text) - cut] + after[:cut]
+    rows = {r.doc_id: r for r in registered()["op2_fingerprints"](spark, FOLDER).collect()}
+    both = [(2 * k, texts[k]) for k in ordered] + [(2 * k + 1, edited[k]) for k in ordered]
+    alone = {
+        r.doc_id: (r.fp, r.fp2)
+        for r in simhash.neighbour_fingerprints(spark.createDataFrame(both, "doc_id long, text string")).collect()
+    }
+
+    def likeness(a, b):
+        return 1 - sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b)) / 128
+
+    for n, k in enumerate(ordered):
+        r, after = rows[k], ordered[(n + 1) % len(ordered)]
+        assert r.n_chars == len(texts[k] or "")
+        assert r.edited_sha256 == hashlib.sha256(edited[k].encode()).hexdigest()
+        own, changed = ("".join(f"{x & (2**64 - 1):016x}" for x in reversed(alone[i])) for i in (2 * k, 2 * k + 1))
+        assert (r.fingerprint, r.edited_fingerprint) == (own, changed)
+        assert r.near_edited == likeness(alone[2 * k], alone[2 * k + 1])
+        assert r.near_next == likeness(alone[2 * k], alone[2 * after])
+
+
 def test_fingerprint_likeness(spark):
     rows = registered()["op2_fingerprints"](spark, FOLDER).collect()
     long = [r for r in rows if r.n_chars > 400]
