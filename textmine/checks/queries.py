@@ -24,6 +24,7 @@ TOP_TERMS = 100
 SMALL_VOCABULARY = 500
 # Layout of the training rows; the model does not depend on how many rows there are.
 SVC_PARTITIONS = 4
+SVC_REG_PARAM, SVC_GAP = 20.0, 0.05
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -416,6 +417,17 @@ def svc_checks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def svc_certificate(spark: SparkSession, folder: str) -> DataFrame:
+    """A regularised fit is shown to be within a twentieth of the optimum."""
+    features = op.binary_label(_features(corpus_by_language(spark, folder)), ["en"])
+    training, _ = _parts(sources.compute(features.select("doc_id", "fold", "label", "features"), "svc_rows"))
+    model = plans.fit_linear_svc(training, reg_param=SVC_REG_PARAM, partitions=SVC_PARTITIONS, standardize=False)
+    found = plans.svc_certificate(model, training, SVC_REG_PARAM)
+    sources.uncache_table(spark, "svc_rows")
+    row = (found.rows, 0 < found.dual <= found.primal, found.gap <= SVC_GAP)
+    return sources.copy_to(spark, [row], "n long, bound_holds boolean, near_optimum boolean")
+
+
 def svc_f1(spark: SparkSession, folder: str) -> DataFrame:
     score = op.evaluate(_svc_predictions(spark, folder).select("label", "prediction"), "f1")
     return sources.copy_to(spark, [(round(score, 4),)], "f1 double")
@@ -599,6 +611,7 @@ def registered() -> dict[str, Query]:
         "ml_eval": ml_eval,
         "svc_confusion": svc_confusion,
         "svc_checks": svc_checks,
+        "svc_certificate": svc_certificate,
         "svc_f1": svc_f1,
         "csv_multiline": csv_multiline,
         "csv_split": csv_split,

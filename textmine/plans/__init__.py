@@ -1,4 +1,5 @@
 from textmine.plans.classification import (
+    Certificate,
     bayes_pipeline,
     class_labels,
     cross_validator,
@@ -7,6 +8,7 @@ from textmine.plans.classification import (
     param_grid,
     predict,
     smoothing_grid,
+    svc_certificate,
     validation_metrics,
 )
 from textmine.plans.features import (
@@ -18,6 +20,7 @@ from textmine.plans.features import (
 )
 
 __all__ = [
+    "Certificate",
     "add_features",
     "bayes_pipeline",
     "class_labels",
@@ -30,6 +33,7 @@ __all__ = [
     "predict",
     "preprocessing_pipeline",
     "smoothing_grid",
+    "svc_certificate",
     "validation_metrics",
     "vector_entries",
 ]
