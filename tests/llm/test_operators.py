@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,6 +159,23 @@ def test_remove_repeats(hard_docs, hard_rows):
     assert all(s.length >= repeats.WINDOW for r in found for s in r.spans)
 
 
+@pytest.mark.parametrize("name", ["anchors", "windows"])
+def test_remove_repeats_survives_collisions(hard_docs, hard_rows, monkeypatch, name):
+    """Neither anchors nor the first hash of a window decide alone: with 8 bits the result is the same."""
+    grams, windows = repeats.gram_hashes, repeats.window_hash
+
+    def few_windows(hashes):
+        exact = windows(hashes)
+        return lambda start, end: exact(start, end) & np.uint64(255)
+
+    if name == "anchors":
+        monkeypatch.setattr(repeats, "gram_hashes", lambda hashes, size: grams(hashes, size) & np.uint64(255))
+    else:
+        monkeypatch.setattr(repeats, "window_hash", few_windows)
+    found = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in repeats.remove_repeats(hard_docs).collect()]
+    same(found, brute.kept_without_repeats([(i, t) for i, t, _ in hard_rows]))
+
+
 def test_remove_repeats_with_distinct_ids(spark, no_docs):
     """Passages whose copies differ on one side or both, on a small alphabet that repeats by chance."""
     rng = random.Random(11)
