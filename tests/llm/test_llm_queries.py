@@ -67,6 +67,9 @@ def test_span_columns(spark, name, of, kinds):
         assert r.base_sha256 == _digest(base)
         listed = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in r.spans.split(",") if x)]
         assert [x for x in listed if x[0] in kinds] == base
+        if name == "op6_pii":
+            scores = [float(x) for x in r.scores.split(",") if x]
+            assert len(scores) == len(listed) and all(0 < x <= 1 for x in scores)
         if name == "op8_secrets":
             assert [x for x in listed if x[0] == "random"] == random[r.doc_id]
 

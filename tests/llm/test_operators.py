@@ -393,6 +393,11 @@ def test_added_kinds_and_scores():
     assert ("ssn", "987-65-4321") not in added and sum(k == "iban" for k, _ in added) == 1
     plain, helped = pii.find_spans("x 10.0.0.1 y")[0], pii.find_spans("server 10.0.0.1 y")[0]
     assert helped.score > plain.score
+    # A word that the edge of the context cuts is not taken for what is left of it.
+    cut = pii.find_spans("myserver" + " " * (pii.CONTEXT_CHARS - 6) + "10.0.0.1" + " " * (pii.CONTEXT_CHARS - 6) + "serverless")
+    assert [s.score for s in cut] == [plain.score]
+    whole = pii.find_spans("server" + " " * (pii.CONTEXT_CHARS - 6) + "10.0.0.1")
+    assert [s.score for s in whole] == [helped.score]
     assert pii.mask("to a@b.fr now", pii.find_spans("to a@b.fr now")) == "to <email> now"
 
 

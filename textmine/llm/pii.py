@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textmine.llm.wordhash import slices
+
 CONTEXT_CHARS = 48
 THRESHOLD = 0.5
 CONTEXT_BONUS = 0.3
@@ -104,7 +106,7 @@ _GUARDED = {
     for kind in KINDS
 }
 _DIGIT = re.compile("[0-9]")
-_WORD = re.compile("[a-z-]+")
+_WORD = re.compile("[A-Za-z-]+")
 
 
 def _next_start(kind: Kind, match: re.Match, end: int | None) -> int:
@@ -146,8 +148,13 @@ def _ends(kind: Kind, match: re.Match) -> Iterator[int]:
 
 
 def _near(text: str, start: int, end: int) -> set[str]:
-    around = text[max(0, start - CONTEXT_CHARS) : start] + " " + text[end : end + CONTEXT_CHARS]
-    return set(_WORD.findall(around.lower()))
+    """Words that lie whole within some characters before or after a span."""
+    low, high = max(0, start - CONTEXT_CHARS), min(len(text), end + CONTEXT_CHARS)
+    # A character more on either side shows whether the word there goes on.
+    first, last = max(0, low - 1), min(len(text), high + 1)
+    before = [m for m in _WORD.finditer(text, first, start) if m.start() >= low]
+    after = [m for m in _WORD.finditer(text, end, last) if m.end() <= high]
+    return {m.group().lower() for m in before + after}
 
 
 def find_spans(text: str, threshold: float = THRESHOLD) -> list[Span]:
@@ -174,8 +181,9 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
     )
     for batch in batches:
-        found = [[s._asdict() for s in find_spans(t)] for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["doc_id", "spans"])
+        for part in slices(batch, 1):
+            found = [[s._asdict() for s in find_spans(t)] for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, kind)], ["doc_id", "spans"])
 
 
 def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

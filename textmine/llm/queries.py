@@ -70,6 +70,7 @@ def _by_kind(spans: Column, kind: str) -> Column:
 
 
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """``scores`` has those of the listed spans, in their order."""
     found = pii.personal_data(table(spark, folder, "documents"))
     kinds = [kind.name for kind in pii.KINDS if kind.base]
     base = F.filter("spans", lambda s: s["kind"].isin(kinds))
@@ -78,6 +79,7 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
         *[_by_kind(F.col("spans"), kind) for kind in kinds],
         F.sha2(spans_text(base), 256).alias("base_sha256"),
         spans_text(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
     )
 
 
