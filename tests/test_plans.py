@@ -1,6 +1,9 @@
 import random
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.feature import IDF
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -97,6 +100,27 @@ def test_grid_over_several_parameters(corpus):
         plans.param_grid(pipeline, {"LinearSVC": {"maxIter": [1]}})
 
 
+def test_grid_over_stages_of_one_class(spark):
+    """Two stages of a class are varied apart, and each keeps a column of its own."""
+    rows = [(k, float(k % 2), Vectors.dense(k % 2 + k % 3, k % 5, 1.0), k % 3) for k in range(60)]
+    training = spark.createDataFrame(rows, ["doc_id", "label", "raw", "fold"]).withColumn("fold", F.col("fold").cast("int"))
+    pipeline = Pipeline(stages=[
+        IDF(inputCol="raw", outputCol="once"),
+        IDF(inputCol="once", outputCol="features"),
+        NaiveBayes(modelType="multinomial"),
+    ])
+    assert list(plans.stage_names(pipeline)) == ["IDF[0]", "IDF[1]", "NaiveBayes"]
+    grid = plans.param_grid(
+        pipeline,
+        {"IDF[0]": {"minDocFreq": [0, 3]}, "IDF[1]": {"minDocFreq": [0, 50]}, "NaiveBayes": {"smoothing": [1.0]}},
+    )
+    found = plans.validation_metrics(plans.cross_validator(pipeline, grid, fold_col="fold").fit(training), training)
+    assert found.columns == ["IDF[0].minDocFreq", "IDF[1].minDocFreq", "smoothing", "avg_metric", "std_metric"]
+    assert {tuple(r)[:3] for r in found.collect()} == {(a, b, 1.0) for a in (0, 3) for b in (0, 50)}
+    with pytest.raises(ValueError, match=r"IDF\[0\]"):
+        plans.param_grid(pipeline, {"IDF": {"minDocFreq": [1]}})
+
+
 def test_svc_certificate(spark):
     """The bound holds for any classifier, and is close for the fitted one; brute force on the same numbers."""
     rng = random.Random(4)

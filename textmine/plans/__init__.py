@@ -8,6 +8,7 @@ from textmine.plans.classification import (
     param_grid,
     predict,
     smoothing_grid,
+    stage_names,
     svc_certificate,
     validation_metrics,
 )
@@ -33,6 +34,7 @@ __all__ = [
     "predict",
     "preprocessing_pipeline",
     "smoothing_grid",
+    "stage_names",
     "svc_certificate",
     "validation_metrics",
     "vector_entries",

@@ -10,6 +10,7 @@ from pyspark.ml.classification import LinearSVC, LinearSVCModel, NaiveBayes
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -76,9 +77,10 @@ def bayes_pipeline(statistics: BayesStatistics, smoothing: float = 1.0) -> Pipel
 def param_grid(pipeline: Pipeline, values: Mapping[str, Mapping[str, Sequence]]) -> list[dict]:
     """Grid over stage parameters, such as ``{"NaiveBayes": {"smoothing": [1.0, 0.5]}}``.
 
-    Stages go by their class name; several stages and parameters multiply.
+    Stages go by their class name. Where a pipeline has several of a class they are numbered in its order,
+    as in ``IDF[0]`` and ``IDF[1]``. Several stages and parameters multiply.
     """
-    stages = {type(stage).__name__: stage for stage in pipeline.getStages()}
+    stages = stage_names(pipeline)
     builder = ParamGridBuilder()
     for name, params in values.items():
         if name not in stages:
@@ -88,6 +90,16 @@ def param_grid(pipeline: Pipeline, values: Mapping[str, Mapping[str, Sequence]])
     return builder.build()
 
 
+def stage_names(pipeline: Pipeline) -> dict[str, Params]:
+    """Stages by class name, numbered where a class comes more than once."""
+    classes = [type(stage).__name__ for stage in pipeline.getStages()]
+    found = {}
+    for at, (name, stage) in enumerate(zip(classes, pipeline.getStages())):
+        number = f"[{classes[:at].count(name)}]" if classes.count(name) > 1 else ""
+        found[f"{name}{number}"] = stage
+    return found
+
+
 def smoothing_grid(pipeline: Pipeline, values: Sequence[float] = (1.0, 0.5)) -> list[dict]:
     return param_grid(pipeline, {"NaiveBayes": {"smoothing": values}})
 
@@ -121,10 +133,19 @@ def cross_validator(
 
 
 def validation_metrics(model: CrossValidatorModel, train: DataFrame) -> DataFrame:
-    """One row per grid entry: its parameters, and mean and deviation of the metric."""
+    """One row per grid entry: its parameters, and mean and deviation of the metric.
+
+    A parameter that several stages vary has the stage in its column's name, as in ``IDF[1].minDocFreq``.
+    """
     maps = model.getEstimatorParamMaps()
     types = {bool: "boolean", int: "bigint", float: "double", str: "string"}
-    columns = [f"{param.name} {types[type(value)]}" for param, value in maps[0].items()]
+    owners = {stage.uid: name for name, stage in stage_names(model.getEstimator()).items()}
+    names = [param.name for param in maps[0]]
+
+    def column(param: Param) -> str:
+        return param.name if names.count(param.name) == 1 else f"`{owners[param.parent]}.{param.name}`"
+
+    columns = [f"{column(param)} {types[type(value)]}" for param, value in maps[0].items()]
     rows = [
         (*grid.values(), float(mean), float(deviation))
         for grid, mean, deviation in zip(maps, model.avgMetrics, model.stdMetrics)
