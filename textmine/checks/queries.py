@@ -192,8 +192,8 @@ def dictionary_tfidf(spark: SparkSession, folder: str) -> DataFrame:
     corpus = corpus_by_language(spark, folder)
     numbered = op.numbered_terms(op.fit_vocabulary(corpus))
     entries = plans.vector_entries(op.add_vectors(corpus, numbered, "doc_id"), "features", "doc_id")
-    names = numbered.table.select(F.col("index").cast("int").alias("index"), "term")
-    named = op.lookup_join(entries, names, ["index"], numbered.row_bytes(1), spread_by=["doc_id"])
+    names = numbered.table.select(F.col("index").cast("int").alias("index"), "term", "df")
+    named = op.lookup_join(entries, names, ["index"], numbered.row_bytes(1), spread_by=["doc_id"], frequency="df")
     return named.select("doc_id", "term", F.round("value", 4).alias("tfidf"))
 
 

@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 from textmine.functions.splits import TEST_FOLD
 from textmine.functions.tokens import content_words
 from textmine.operators.evaluation import confusion_long, metrics
-from textmine.operators.lookup import broadcastable, lookup_join, salts_for
+from textmine.operators.lookup import broadcastable, common_part, lookup_join
 from textmine.operators.terms import MIN_DF, idf, is_long_list, term_counts, vocabulary_cut, without_words
 from textmine.sources.scratch import written
 from textmine.sources.tables import collect_small
@@ -286,12 +286,13 @@ def _narrower(width: int, limit: int) -> int:
 
 
 def _differences(models: BayesModels, smoothings: Sequence[float], width: int) -> DataFrame:
-    """Lookup table ``(fold, term, block, idf, d0_0, ...)`` with ``width`` classes in a row.
+    """Lookup table ``(fold, term, rarity, block, idf, d0_0, ...)`` with ``width`` classes in a row.
 
     ``d`` is what a class adds to a term's weight beyond that of a term it never saw. The ``idf`` stands in
-    block 0 only, so that adding up rows counts it once per term.
+    block 0 only, so that adding up rows counts it once per term; as ``rarity`` it stands in every row.
     """
     names = [[f"d{g}_{j}" for j in range(width)] for g in range(len(smoothings))]
+    rarity = F.col("idf").alias("rarity")
 
     def fields(block: Column, sums: Sequence[str]) -> list[Column]:
         found = [block.alias("block"), F.when(block == 0, F.col("idf")).otherwise(0.0).alias("idf")]
@@ -301,7 +302,7 @@ def _differences(models: BayesModels, smoothings: Sequence[float], width: int) -
         return found
 
     if width == models.width:
-        return models.sums.select("fold", "term", *fields(F.col("block"), [f"s{j}" for j in range(width)]))
+        return models.sums.select("fold", "term", rarity, *fields(F.col("block"), [f"s{j}" for j in range(width)]))
     # Each row in narrower ones: the columns do not grow, and rows without any difference are not made.
     per = models.width // width
     sums = [f"s{k}" for k in range(models.width)]
@@ -316,7 +317,29 @@ def _differences(models: BayesModels, smoothings: Sequence[float], width: int) -
     )
     any_seen = F.expr(" + ".join(f"s{j}" for j in range(width))) > 0
     narrow = models.sums.select("fold", "term", "idf", F.inline(parts)).where((F.col("b") == 0) | any_seen)
-    return narrow.select("fold", "term", *fields(F.col("b"), [f"s{j}" for j in range(width)]))
+    return narrow.select("fold", "term", rarity, *fields(F.col("b"), [f"s{j}" for j in range(width)]))
+
+
+def _found_in_two(rows: DataFrame, table: DataFrame, by: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """``rows`` with what a ``table`` too large to broadcast has on them, ``(*by, block, tf, *values)``.
+
+    The rows of the frequent terms are broadcast, and what they give is summed per document before anything
+    moves. Only occurrences of the other terms, which are few, meet the rest of the table in a shuffle; there
+    every term is rarer than all of the broadcast ones, so none is hot. The text is read once.
+    """
+    stored = written(table, "bayes-differences")
+    row_bytes = F.octet_length("term") + F.lit(64 + 8 * len(values))
+    common, rare = common_part(stored, "rarity", row_bytes)
+    first = rows.join(F.broadcast(common.drop("rarity")), ["fold", "term"], "left")
+    left_over = F.when(F.col("block").isNull(), F.col("term"))
+    sums = [F.sum(F.col("tf") * F.col(name)).alias(name) for name in values]
+    folded = first.groupBy(*by, "block", left_over.alias("term")).agg(F.sum("tf").alias("tf"), *sums)
+    folded = written(folded, "bayes-folded")
+    # What is summed already counts once. Unknown terms stay too, so that no document is lost.
+    done = folded.where(F.col("term").isNull()).select(*by, "block", F.lit(1).cast("long").alias("tf"), *values)
+    open_rows = folded.where(F.col("term").isNotNull()).select(*by, "term", "tf")
+    met = open_rows.join(rare.drop("rarity").hint("merge"), ["fold", "term"], "left")
+    return done.union(met.select(*done.columns))
 
 
 def score(
@@ -355,28 +378,21 @@ def score(
         rows_of = table.agg(F.count("*").alias("n"), F.sum(F.octet_length("term")).alias("bytes")).first()
         size = (rows_of["bytes"] or 0) + rows_of["n"] * (64 + 8 * len(values))
     held_out = corpus.where(F.col("fold").isin(holdouts))
-    if broadcastable(size):
-        # No row moves, and adding up occurrences costs less than counting them first.
-        if is_long_list(stop_words):
-            # A row without a term keeps documents of stop words only.
-            tokens = F.explode(F.concat(F.array(F.lit(None).cast("string")), content_words("text", [])))
-        else:
-            tokens = F.explode_outer(content_words("text", stop_words))
-        rows = held_out.select(*key, "cat", "fold", tokens.alias("term"), F.lit(1).cast("long").alias("tf"))
-        if is_long_list(stop_words):
-            rows = without_words(rows, stop_words)
-        found = lookup_join(rows, table, ["fold", "term"], size, spread_by=key, how="left")
+    # Adding up occurrences costs less than counting them first.
+    if is_long_list(stop_words):
+        # A row without a term keeps documents of stop words only.
+        tokens = F.explode(F.concat(F.array(F.lit(None).cast("string")), content_words("text", [])))
     else:
-        rows = term_counts(held_out, *key, "cat", "fold", stop_words=stop_words)
-        # A row per document, added after the join, keeps those without any known term.
-        salts = salts_for(sum(statistics.docs.values()))
-        known = lookup_join(rows, table, ["fold", "term"], size, spread_by=key, salts=salts)
-        blank = held_out.select(
-            *key, "cat", "fold", F.lit(None).cast("long").alias("tf"), F.lit(None).cast("int").alias("block"),
-            *[F.lit(None).cast("double").alias(c) for c in values],
-        )
-        found = known.select(*blank.columns).union(blank)
+        tokens = F.explode_outer(content_words("text", stop_words))
+    rows = held_out.select(*key, "cat", "fold", tokens.alias("term"), F.lit(1).cast("long").alias("tf"))
+    if is_long_list(stop_words):
+        rows = without_words(rows, stop_words)
     by = [*key, "cat", "fold"]
+    if broadcastable(size):
+        # No row moves.
+        found = lookup_join(rows, table.drop("rarity"), ["fold", "term"], size, spread_by=key, how="left")
+    else:
+        found = _found_in_two(rows, table, by, values)
     totals = [F.expr(f"coalesce(sum(tf * {d}), 0D) AS {d}") for d in values]
     arrays = [F.array(*row) for row in names]
     if blocks == 1:

@@ -59,8 +59,8 @@ def add_vectors(
     spark = corpus.sparkSession
     names = [*key, *keep]
     counts = term_counts(corpus, *names, stop_words=stop_words, document_rows=True)
-    table = numbered.table.select("term", F.col("index").cast("int").alias("index"), "idf")
-    found = lookup_join(counts, table, ["term"], numbered.row_bytes(2), spread_by=key, how="left")
+    table = numbered.table.select("term", F.col("index").cast("int").alias("index"), "idf", F.col("df").alias("_df"))
+    found = lookup_join(counts, table, ["term"], numbered.row_bytes(2), spread_by=key, how="left", frequency="_df")
     entry = F.struct("index", F.col("tf").cast("double").alias("tf"), (F.col("tf") * F.col("idf")).alias("w"))
     entries = F.array_sort(F.collect_list(F.when(F.col("index").isNotNull(), entry)))
     used = found.where(F.col("term").isNull() | F.col("index").isNotNull())

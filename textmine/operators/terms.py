@@ -176,10 +176,11 @@ def vocabulary_counts(
     """Long ``(*key, term, tf, idf)`` with the vocabulary's terms only."""
     return lookup_join(
         term_counts(corpus, *key, stop_words=stop_words),
-        vocabulary.table.select("term", "idf"),
+        vocabulary.table.select("term", "idf", F.col("df").alias("_df")),
         ["term"],
         vocabulary.row_bytes(1),
         spread_by=key,
+        frequency="_df",
     ).select(*key, "term", "tf", "idf")
 
 
