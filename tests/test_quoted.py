@@ -88,3 +88,21 @@ def test_bad_files(spark, tmp_path):
         sources.read_raw_posts(spark, f"file://{tmp_path}/short.csv", split=True).collect()
     with pytest.raises(ValueError, match="not supported"):
         sources.read_raw_posts(spark, f"file://{tmp_path}/short.csv", mode="DROPMALFORMED", split=True)
+
+
+def test_csv_split_bounds_what_one_task_writes(monkeypatch, spark, tmp_path):
+    """Large tables go to several files; a small one stays one file."""
+    from textmine.checks import queries
+
+    texts = [f'line {i}\n"quoted", and\nmore' if i % 7 else None for i in range(3000)]
+    rows = spark.createDataFrame([(i, text, "en") for i, text in enumerate(texts)], "doc_id long, text string, lang string")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    written = []
+    kept = sources.scratch_path
+    monkeypatch.setattr(sources, "scratch_path", lambda *a: written.append(kept(*a)) or written[-1])
+    several = -(-sum(len(text) for text in texts if text) // 10_000)
+    for size, files in ((queries.CSV_FILE_BYTES, 1), (10_000, several)):
+        monkeypatch.setattr(queries, "CSV_FILE_BYTES", size)
+        found = queries.csv_split(spark, str(tmp_path))
+        assert sorted(map(str, found.collect())) == sorted(map(str, rows.toDF("doc_id", "text", "cat").collect()))
+        assert spark.read.text(written[-1]).select(F.input_file_name()).distinct().count() == files

@@ -24,6 +24,8 @@ TOP_TERMS = 100
 SMALL_VOCABULARY = 500
 # Layout of the training rows; the model does not depend on how many rows there are.
 SVC_PARTITIONS = 4
+#: Text in one file of ``csv_split``, twice what a task reads at most.
+CSV_FILE_BYTES = 256 * 1024 * 1024
 SVC_REG_PARAM, SVC_GAP = 20.0, 0.05
 
 
@@ -446,10 +448,15 @@ def csv_multiline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def csv_split(spark: SparkSession, folder: str) -> DataFrame:
-    """The same through one file that several tasks read."""
+    """The same through files that several tasks read each; small tables are one file."""
     path = sources.scratch_path(spark, "raw-csv")
     raw = _documents(spark, folder)
-    sources.write_csv(raw.coalesce(1), path, sep=",", max_records_per_file=0)
+    size = raw.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(1, -(-size // CSV_FILE_BYTES))
+    # Too few splits to put together are dealt anew.
+    enough = files == 1 or raw.rdd.getNumPartitions() >= 2 * files
+    parts = raw.coalesce(files) if enough else raw.repartition(files, *raw.columns)
+    sources.write_csv(parts, path, sep=",", max_records_per_file=0)
     back = sources.read_csv(spark, path, sources.all_strings(raw), sep=",", split=True)
     return back.withColumn("doc_id", F.col("doc_id").cast("long"))
 
