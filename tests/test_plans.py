@@ -145,3 +145,10 @@ def test_svc_certificate(spark):
     assert other.dual <= certificates[0.1].primal <= other.primal and other.gap > certificates[0.1].gap
     with pytest.raises(ValueError, match="no dual bound"):
         plans.svc_certificate(poor, train, 0.0)
+
+
+def test_layout_of_svc_rows_grows_with_the_rows(spark):
+    from textmine.checks import queries
+
+    assert queries._svc_partitions(spark.range(100_000)) == queries.SVC_PARTITIONS == 4
+    assert queries._svc_partitions(spark.range(1_000_001)) == 41

@@ -22,8 +22,9 @@ SMOOTHINGS = (1.0, 0.5)
 LANGUAGES = ["de", "en", "es", "fr"]
 TOP_TERMS = 100
 SMALL_VOCABULARY = 500
-# Layout of the training rows; the model does not depend on how many rows there are.
+# Layout of the training rows: at least so many partitions, one more per ``SVC_ROWS`` rows beyond.
 SVC_PARTITIONS = 4
+SVC_ROWS = 25_000
 #: Text in one file of ``csv_split``, twice what a task reads at most.
 CSV_FILE_BYTES = 256 * 1024 * 1024
 SVC_REG_PARAM, SVC_GAP = 20.0, 0.05
@@ -395,11 +396,16 @@ def ml_eval(spark: SparkSession, folder: str) -> DataFrame:
     return sources.copy_to(spark, [values], ", ".join(f"{name} double" for name in names))
 
 
+def _svc_partitions(training: DataFrame) -> int:
+    """Decided by the number of rows alone, so that a model does not depend on the cluster."""
+    return max(SVC_PARTITIONS, -(-training.count() // SVC_ROWS))
+
+
 def _svc_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Label, compute, split, fit, score; the training rows are laid out by key."""
     features = op.binary_label(_features(corpus_by_language(spark, folder)), ["en"])
     training, test = _parts(sources.compute(features.select("doc_id", "fold", "label", "features"), "svc_rows"))
-    scored = plans.fit_linear_svc(training, partitions=SVC_PARTITIONS).transform(test)
+    scored = plans.fit_linear_svc(training, partitions=_svc_partitions(training)).transform(test)
     scored = sources.written(scored.select("doc_id", "label", "prediction"), "svc-predictions")
     sources.uncache_table(spark, "svc_rows")
     return scored
@@ -423,7 +429,7 @@ def svc_certificate(spark: SparkSession, folder: str) -> DataFrame:
     """A regularised fit is shown to be within a twentieth of the optimum."""
     features = op.binary_label(_features(corpus_by_language(spark, folder)), ["en"])
     training, _ = _parts(sources.compute(features.select("doc_id", "fold", "label", "features"), "svc_rows"))
-    model = plans.fit_linear_svc(training, reg_param=SVC_REG_PARAM, partitions=SVC_PARTITIONS, standardize=False)
+    model = plans.fit_linear_svc(training, reg_param=SVC_REG_PARAM, partitions=_svc_partitions(training), standardize=False)
     found = plans.svc_certificate(model, training, SVC_REG_PARAM)
     sources.uncache_table(spark, "svc_rows")
     row = (found.rows, 0 < found.dual <= found.primal, found.gap <= SVC_GAP)
