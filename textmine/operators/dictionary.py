@@ -62,7 +62,7 @@ def add_vectors(
     table = numbered.table.select("term", F.col("index").cast("int").alias("index"), "idf", F.col("df").alias("_df"))
     found = lookup_join(counts, table, ["term"], numbered.row_bytes(2), spread_by=key, how="left", frequency="_df")
     entry = F.struct("index", F.col("tf").cast("double").alias("tf"), (F.col("tf") * F.col("idf")).alias("w"))
-    entries = F.array_sort(F.collect_list(F.when(F.col("index").isNotNull(), entry)))
+    entries = F.sort_array(F.collect_list(F.when(F.col("index").isNotNull(), entry)))
     used = found.where(F.col("term").isNull() | F.col("index").isNotNull())
     met = used.groupBy(*key).agg(*[F.first(name).alias(name) for name in keep], entries.alias("e"))
 
@@ -71,8 +71,8 @@ def add_vectors(
         return F.struct(
             F.lit(0).cast("tinyint").alias("type"),
             F.lit(numbered.n_terms).alias("size"),
-            F.transform("e", lambda x: x["index"]).alias("indices"),
-            F.transform("e", lambda x: x[value]).alias("values"),
+            F.col("e")["index"].alias("indices"),
+            F.col("e")[value].alias("values"),
         )
 
     plain = met.select(*names, vector("tf").alias("raw_features"), vector("w").alias("features"))

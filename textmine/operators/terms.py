@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmine.functions.tokens import count_text_terms, tokenize
+from textmine.functions.tokens import content_words, count_text_terms, tokenize
 from textmine.operators.lookup import lookup_join
 from textmine.sources.scratch import written
 from textmine.sources.tables import copy_to
@@ -39,6 +39,30 @@ def term_counts(
     return without_words(rows, stop_words) if is_long_list(stop_words) else rows
 
 
+def term_occurrences(
+    corpus: DataFrame, stop_words: Sequence[str] | None = None, document_rows: bool = False
+) -> DataFrame:
+    """``(term, before)``: every token, and the one before it in the sorted tokens of its document.
+
+    A term's first token in a document has another term before it. That tells documents from occurrences in
+    an aggregation by term, without counting inside the row. With ``document_rows`` each document adds a row
+    without a term, which counts as a first one.
+    """
+    listed = [] if is_long_list(stop_words) else stop_words
+    words = F.sort_array(content_words("text", listed))
+    none = F.array(F.lit(None).cast("string"))
+    words = corpus.select((F.concat(none, words) if document_rows else words).alias("_words"))
+    shifted = F.slice(F.concat(F.array(F.lit("")), "_words"), F.lit(1), F.size("_words"))
+    rows = words.select(F.inline(F.arrays_zip(F.col("_words").alias("term"), shifted.alias("before"))))
+    rows = rows.toDF("term", "before")
+    return without_words(rows, stop_words) if is_long_list(stop_words) else rows
+
+
+def _frequencies(occurrences: DataFrame) -> DataFrame:
+    first = ~F.col("term").eqNullSafe(F.col("before"))
+    return occurrences.groupBy("term").agg(F.count_if(first).alias("df"), F.count("*").alias("cf"))
+
+
 def is_long_list(stop_words: Sequence[str] | None) -> bool:
     return stop_words is not None and len(stop_words) > LISTED_WORDS
 
@@ -56,11 +80,7 @@ def without_words(rows: DataFrame, words: Sequence[str]) -> DataFrame:
 
 def document_frequency(corpus: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
     """``(term, df, cf)``: documents with the term, and its occurrences in the corpus."""
-    return (
-        term_counts(corpus, stop_words=stop_words)
-        .groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-    )
+    return _frequencies(term_occurrences(corpus, stop_words))
 
 
 def top_terms(frequencies: DataFrame, k: int) -> DataFrame:
@@ -142,11 +162,7 @@ def fit_vocabulary(
     ``min_df`` below 1 is a share of all documents, otherwise a number of documents. All such terms
     are kept unless ``size`` asks for the most frequent ones only.
     """
-    counted = (
-        term_counts(corpus, stop_words=stop_words, document_rows=True)
-        .groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-    )
+    counted = _frequencies(term_occurrences(corpus, stop_words, document_rows=True))
     if min_df >= 1:
         counted = counted.where(F.col("term").isNull() | (F.col("df") >= min_df))
     stored = written(counted, "vocabulary")
