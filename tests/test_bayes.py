@@ -228,3 +228,45 @@ def test_a_thousand_classes(spark):
             ]
             assert row["scores"] == pytest.approx(expected, abs=1e-8)
             assert row["pred_cat"] == cat
+
+
+def test_many_classes_are_summed_without_lists_per_term(monkeypatch, spark):
+    rng = random.Random(3)
+    docs = [
+        (k % 290, " ".join(rng.choices(["one", "two", *[f"w{i}" for i in range(120)]], k=rng.randint(0, 12))) if k % 50 else None, f"c{k % 20:02d}", k // 20 % 4 - 1)
+        for k in range(300)
+    ]
+    corpus = spark.createDataFrame(docs, "doc_id int, text string, cat string, fold int")
+    plans_of = {}
+
+    def noted(df, name):
+        plans_of[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return written(df, name)
+
+    written = bayes.written
+    monkeypatch.setattr(bayes, "written", noted)
+    found = op.fit_statistics(corpus, min_df=8)
+    assert "collect_list" not in plans_of["bayes-terms"]
+    df, cells = Counter(), Counter()
+    for _, text, cat, fold in docs:
+        words = (text or "").split()
+        df.update(set(words))
+        cells.update((word, cat, fold) for word in words)
+    kept = {word for word, n in df.items() if n >= 8}
+    assert 0 < len(kept) < len(df) and found.n_terms == len(kept)
+    rows = found.terms.collect()
+    assert len(rows) == len({(r["term"], r["cat"], r["fold"]) for r in rows})
+    assert {(r["term"], r["cat"], r["fold"]): r["tf"] for r in rows} == {c: n for c, n in cells.items() if c[0] in kept}
+    assert all(r["idf"] == pytest.approx(math.log(301 / (df[r["term"]] + 1))) for r in rows)
+    # The same by columns, and with a cut vocabulary, which needs one marked row per term.
+    monkeypatch.setattr(bayes, "WIDE_PAIRS", 1000)
+    wide = op.fit_statistics(corpus, min_df=8)
+    assert wide.n_terms == found.n_terms and wide.term_bytes == found.term_bytes
+    assert sorted(wide.terms.collect()) == sorted(rows) and wide.weights == pytest.approx(found.weights)
+    monkeypatch.setattr(bayes, "WIDE_PAIRS", 0)
+    cut = op.fit_statistics(corpus, min_df=8, vocab_size=3)
+    totals = Counter()
+    for (word, _, _), n in cells.items():
+        totals[word] += n if word in kept else 0
+    first = sorted(kept, key=lambda word: (-totals[word], word))[:3]
+    assert cut.n_terms == 3 and {r["term"] for r in cut.terms.collect()} == set(first)

@@ -76,8 +76,11 @@ class BayesStatistics(NamedTuple):
 WIDE_PAIRS = 40
 
 
-def _cells_by_columns(tokens: DataFrame, pairs: list[tuple[str, int]]) -> DataFrame:
-    """``(term, df, cells)`` with one shuffle: a sum per class and fold."""
+def _cells_by_columns(tokens: DataFrame, pairs: list[tuple[str, int]], least: float) -> DataFrame:
+    """``(term, cat, fold, tf, df, cf, head)`` with one shuffle: a sum per class and fold.
+
+    Terms below ``least`` documents are left out; ``head`` marks one row of each term.
+    """
     same = [(F.col("cat") == F.lit(cat)) & (F.col("fold") == F.lit(fold)) for cat, fold in pairs]
     summed = tokens.groupBy("term").agg(
         F.count("*").alias("df"),
@@ -87,17 +90,30 @@ def _cells_by_columns(tokens: DataFrame, pairs: list[tuple[str, int]]) -> DataFr
         F.struct(F.lit(cat).alias("cat"), F.lit(fold).cast("int").alias("fold"), F.col(f"t{k}").alias("tf"))
         for k, (cat, fold) in enumerate(pairs)
     ]
-    return summed.select("term", "df", F.filter(F.array(*cells), lambda c: c["tf"].isNotNull()).alias("cells"))
+    by_term = summed.select("term", "df", F.filter(F.array(*cells), lambda c: c["tf"].isNotNull()).alias("cells"))
+    cf = F.aggregate("cells", F.lit(0).cast("long"), lambda total, c: total + c["tf"])
+    kept = by_term.where(F.col("df") >= least).select(
+        "term", "df", cf.alias("cf"), F.posexplode("cells").alias("place", "cell")
+    )
+    return kept.select("term", "cell.cat", "cell.fold", "cell.tf", "df", "cf", (F.col("place") == 0).alias("head"))
 
 
-def _cells_by_rows(tokens: DataFrame) -> DataFrame:
-    """The same for many pairs: one row per term, class and fold first, then one list per term."""
+def _cells_by_rows(tokens: DataFrame, least: float) -> DataFrame:
+    """The same for many pairs: a row per term, class and fold, and sums over the rows of a term.
+
+    The windows hold classes times folds rows at most, however frequent the term. Lists per term would be
+    gathered by an aggregation that sorts, and taken apart again.
+    """
     counts = tokens.groupBy("term", "cat", F.col("fold").cast("int").alias("fold")).agg(
         F.count("*").alias("docs"), F.sum("tf").alias("tf")
     )
-    return counts.groupBy("term").agg(
-        F.sum("docs").alias("df"), F.array_sort(F.collect_list(F.struct("cat", "fold", "tf"))).alias("cells")
-    )
+    of_term = Window.partitionBy("term")
+    place = F.row_number().over(of_term.orderBy("cat", "fold"))
+    summed = counts.select(
+        "term", "cat", "fold", "tf",
+        F.sum("docs").over(of_term).alias("df"), F.sum("tf").over(of_term).alias("cf"), (place == 1).alias("head"),
+    )
+    return summed.where(F.col("df") >= least)
 
 
 def fit_statistics(
@@ -120,16 +136,10 @@ def fit_statistics(
     n_docs = sum(docs.values())
     tokens = term_counts(corpus, "cat", "fold", stop_words=stop_words)
     pairs = sorted(docs)
-    by_term = _cells_by_columns(tokens, pairs) if 0 < len(pairs) <= WIDE_PAIRS else _cells_by_rows(tokens)
     least = min_df if min_df >= 1 else min_df * n_docs
-    cf = F.aggregate("cells", F.lit(0).cast("long"), lambda total, c: total + c["tf"])
-    kept = by_term.where(F.col("df") >= least).select(
-        "term", "df", cf.alias("cf"), F.posexplode("cells").alias("place", "cell")
-    )
-    stored = written(
-        kept.select("term", "cell.cat", "cell.fold", "cell.tf", "df", "cf", (F.col("place") == 0).alias("head")),
-        "bayes-terms",
-    )
+    by_columns = 0 < len(pairs) <= WIDE_PAIRS
+    kept = _cells_by_columns(tokens, pairs, least) if by_columns else _cells_by_rows(tokens, least)
+    stored = written(kept, "bayes-terms")
     sums, n_terms, term_bytes = _summary(stored)
     if vocab_size is not None and n_terms > vocab_size:
         stored = stored.where(vocabulary_cut(stored.where("head"), vocab_size))
