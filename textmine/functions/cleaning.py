@@ -11,7 +11,13 @@ DIGITS = "0123456789"
 
 
 def _blank(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, " " * len(characters))
+    """Each of the ASCII ``characters`` becomes a space.
+
+    A class that lists them one by one is a table of bits to the regular expression; ``translate`` makes
+    a string of every character and looks it up.
+    """
+    listed = "".join(f"\\{c}" if c in PUNCTUATION else c for c in characters)
+    return F.regexp_replace(text, f"[{listed}]", " ")
 
 
 def concat_fields(*fields: Column, sep: str = " ") -> Column:
@@ -28,11 +34,13 @@ def strip_tags(text: Column) -> Column:
     """Replace each HTML tag, from ``<`` to the next ``>`` and across lines, with a space.
 
     Only the part up to the last ``>`` goes through the regular expression. There every ``<`` does
-    close, so the scan stays linear even on long runs of ``<`` that never close.
+    close, so the scan stays linear even on long runs of ``<`` that never close. Text without a ``<`` is
+    left as it is after one look.
     """
     tail = F.substring_index(text, ">", -1)
     head = F.left(text, F.length(text) - F.length(tail))
-    return F.concat(F.regexp_replace(head, "<[^>]*+>", " "), tail)
+    stripped = F.concat(F.regexp_replace(head, "<[^>]*+>", " "), tail)
+    return F.when(F.contains(text, F.lit("<")), stripped).otherwise(text)
 
 
 def strip_line_breaks(text: Column) -> Column:
